@@ -58,6 +58,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
         }
     )
     spark.sparkContext.setLogLevel("ERROR")
