@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A name nothing has.  Usage without an account or login is kept under it: it counts in the total and
+# joins to nothing.  Being never null, the key lets the sums and their total share one shuffle.
+NO_NAME = "\x00"
+
 BYTES_PER_GB = 1024.0 * 1024 * 1024
 
 
@@ -19,6 +23,11 @@ def scalar_total(df: DataFrame, amount: str) -> Column:
     return df.agg(F.sum(amount).alias("total")).scalar()
 
 
+def named(name: str) -> Column:
+    """A grouping key that is never null."""
+    return F.coalesce(F.col(name), F.lit(NO_NAME))
+
+
 def percent(part: Column, total: Column, places: int) -> Column:
     """``part`` of ``total`` in percent, rounded half up; null when the total is 0 or null."""
     share = F.try_divide(part.cast("double") * F.lit(100.0), total.cast("double"))

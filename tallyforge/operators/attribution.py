@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge import fixed_values as V
 from tallyforge.functions.period import Period
 from tallyforge.operators.filters import finished_in
 
@@ -31,6 +32,29 @@ def daily_usage(events: DataFrame, period: Period, *more_keys: str) -> DataFrame
     )
 
 
+def activity_rollup(events: DataFrame, period: Period) -> DataFrame:
+    """Everything a report asks of the events, from one pass over them.
+
+    The grain of ``daily_usage`` with accounts, but events of every type count as activity;
+    ``finished`` is the number of finished jobs and ``units`` their usage.
+    """
+    day = F.to_date("time")
+    ended = F.col("type") == V.JOB_END
+    return (
+        events.filter(period.covers(F.col("time")))
+        .groupBy("user", "account", day.alias("day"), (F.col("time") == day).alias("at_midnight"))
+        .agg(
+            F.count_if(ended).alias("finished"),
+            F.sum(F.when(ended, F.col("service_units"))).alias("units"),
+        )
+    )
+
+
+def usage_of(rollup: DataFrame) -> DataFrame:
+    """The finished usage in a rollup, in the columns of ``daily_usage``."""
+    return rollup.filter("finished > 0").drop("finished")
+
+
 def valid_at_day(day: Column, at_midnight: Column, start: Column, end: Column) -> Column:
     """``start <= moment <= end`` for a moment known by its day; a null end is open.
 
@@ -61,11 +85,18 @@ def attribute_usage(
     """Usage per affiliation attribute, by the affiliations valid on each day.
 
     ``affiliations`` holds ``username``, ``department_id``, the dates and the key columns; equal
-    rows count once.  It is placed by user before the duplicate removal, so the removal and the
-    join share that one shuffle.
+    rows count once.
+
+    The join is outer and unmatched usage is dropped after the sum.  An inner join would push "user
+    is not null" into the events, and the total beside it, a sum over the same rollup without that
+    filter, could then no longer reuse its shuffle and would read the events again.
     """
-    dated = affiliations.withColumnRenamed("username", "user").repartition("user").distinct()
-    joined = user_days.join(dated, "user").filter(
-        valid_at_day(F.col("day"), F.col("at_midnight"), F.col("start_date"), F.col("end_date"))
+    dated = affiliations.withColumnRenamed("username", "_user").distinct()
+    valid = valid_at_day(
+        F.col("day"), F.col("at_midnight"), F.col("start_date"), F.col("end_date")
+    )
+    matched = user_days.join(dated, (F.col("user") == F.col("_user")) & valid, "left")
+    sums = matched.groupBy(*keys).agg(
+        F.sum("units").alias("units"), F.count("_user").alias("_matches")
     )
-    return joined.groupBy(*keys).agg(F.sum("units").alias("units"))
+    return sums.filter("_matches > 0").drop("_matches")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,36 +13,44 @@ from tallyforge.operators.latest import first_by, newest_first
 from tallyforge.sources.tables import JdbcSource, ParquetSource, load_table
 
 
-@dataclass(frozen=True)
+TABLES = {
+    "users": ("user", schemas.USERS),
+    "departments": ("department", schemas.DEPARTMENTS),
+    "institutions": ("institution", schemas.INSTITUTIONS),
+    "affiliations": ("userdepartment", schemas.AFFILIATIONS),
+    "user_systems": ("usersystem", schemas.USER_SYSTEMS),
+    "projects": ("project", schemas.PROJECTS),
+    "project_users": ("userproject", schemas.PROJECT_USERS),
+}
+
+
 class Directory:
-    """Directory tables in their declared schemas (see ``schemas``)."""
+    """The seven directory tables, each opened when first used.
+
+    ``open_table`` gives a table by the name of its attribute.
+    """
 
-    users: DataFrame
-    departments: DataFrame
-    institutions: DataFrame
-    affiliations: DataFrame
-    user_systems: DataFrame
-    projects: DataFrame
-    project_users: DataFrame
+    def __init__(self, open_table: Callable[[str], DataFrame]):
+        self._open_table = open_table
 
     @classmethod
     def load(
         cls, spark: SparkSession, source: ParquetSource | JdbcSource, prefix: str = ""
     ) -> "Directory":
-        """Load the seven tables; ``prefix`` is put before each table name."""
+        """Tables of a source in their declared schemas; ``prefix`` comes before each name."""
 
-        def table(name, schema):
+        def open_table(attribute: str) -> DataFrame:
+            name, schema = TABLES[attribute]
             return load_table(spark, prefix + name, source, schema)
 
-        return cls(
-            users=table("user", schemas.USERS),
-            departments=table("department", schemas.DEPARTMENTS),
-            institutions=table("institution", schemas.INSTITUTIONS),
-            affiliations=table("userdepartment", schemas.AFFILIATIONS),
-            user_systems=table("usersystem", schemas.USER_SYSTEMS),
-            projects=table("project", schemas.PROJECTS),
-            project_users=table("userproject", schemas.PROJECT_USERS),
-        )
+        return cls(open_table)
+
+    def __getattr__(self, attribute: str) -> DataFrame:
+        if attribute not in TABLES:
+            raise AttributeError(attribute)
+        table = self._open_table(attribute)
+        setattr(self, attribute, table)
+        return table
 
     def system_users(self, system_id: int) -> DataFrame:
         return self.user_systems.filter(F.col("system_id") == system_id).select("user_id")

@@ -45,11 +45,12 @@ def usage_by_user(usage: DataFrame) -> DataFrame:
 def percent_by_project(usage: DataFrame, directory: Directory) -> DataFrame:
     """Share of every project of the event system; a project without usage has none.
 
-    Accounts are summed before the outer join, which then meets one row per account.
+    Accounts are summed before the outer join, which then meets one row per account; the total is
+    the sum of those rows.
     """
     projects = directory.projects.filter(F.col("system_id") == V.EVENT_SYSTEM).select("id", "code")
-    sums = usage.groupBy(F.col("account").alias("code")).agg(F.sum("units").alias("units"))
-    pct = S.percent(F.col("units"), S.scalar_total(usage, "units"), 3)
+    sums = usage.groupBy(S.named("account").alias("code")).agg(F.sum("units").alias("units"))
+    pct = S.percent(F.col("units"), S.scalar_total(sums, "units"), 3)
     shares = projects.join(sums, "code", "left").select("code", pct.alias("percentage"))
     return shares.withColumn("percentage_text", S.percent_text(F.col("percentage")))
 

@@ -38,7 +38,7 @@ def total_usage(charged: DataFrame) -> DataFrame:
 
 
 def usage_by_login(charged: DataFrame) -> DataFrame:
-    return charged.groupBy(F.col("login").alias("username")).agg(F.sum("units").alias("units"))
+    return charged.groupBy(S.named("login").alias("username")).agg(F.sum("units").alias("units"))
 
 
 def active_logins(charged: DataFrame) -> DataFrame:
@@ -52,8 +52,8 @@ def percent_by_project(
     projects = directory.projects.filter(
         (F.col("system_id") == V.EXTRACT_SYSTEM) & F.lower("code").startswith(prefix.lower())
     ).select("id", "code")
-    sums = charged.groupBy(F.col("account").alias("code")).agg(F.sum("units").alias("units"))
-    pct = S.percent(F.col("units"), S.scalar_total(charged, "units"), 3)
+    sums = charged.groupBy(S.named("account").alias("code")).agg(F.sum("units").alias("units"))
+    pct = S.percent(F.col("units"), S.scalar_total(sums, "units"), 3)
     return (
         projects.join(sums, "code", "left")
         .select("code", pct.alias("percentage"))
@@ -73,9 +73,10 @@ def current_affiliations(directory: Directory, filters: Pairs = ()) -> DataFrame
 def percent_by_institution(charged: DataFrame, directory: Directory) -> DataFrame:
     """Share of each institution by current affiliation; institutions without usage show 0."""
     users = current_affiliations(directory).select("username", "institution")
-    used = users.join(usage_by_login(charged), "username", "left")
+    by_login = usage_by_login(charged)
+    used = users.join(by_login, "username", "left")
     sums = used.groupBy("institution").agg(S.exact_sum(F.col("units")).alias("units"))
-    pct = S.percent(F.col("units"), S.scalar_total(charged, "units"), 3)
+    pct = S.percent(F.col("units"), S.scalar_total(by_login, "units"), 3)
     return (
         sums.select("institution", pct.alias("percentage"))
         .withColumn("percentage_text", S.percent_text(F.col("percentage")))
@@ -86,7 +87,8 @@ def percent_by_institution(charged: DataFrame, directory: Directory) -> DataFram
 def percent_by_demographic(charged: DataFrame, directory: Directory) -> DataFrame:
     """Share by gender (male and female only), student, astronomy and nationality."""
     users = labelled_users(directory, V.EXTRACT_SYSTEM)
-    used = users.join(usage_by_login(charged), "username", "left")
+    by_login = usage_by_login(charged)
+    used = users.join(by_login, "username", "left")
     genders = [V.GENDER_LABELS[V.MALE], V.GENDER_LABELS[V.FEMALE]]
     rows = by_criterion(used, "units").filter(
         F.col("grp").isNotNull() & ((F.col("criterion") != "gender") | F.col("grp").isin(genders))
@@ -94,7 +96,7 @@ def percent_by_demographic(charged: DataFrame, directory: Directory) -> DataFram
     sums = rows.groupBy("criterion_no", "criterion", "grp").agg(
         S.exact_sum(F.col("units")).alias("units")
     )
-    pct = S.percent(F.col("units"), S.scalar_total(charged, "units"), 2)
+    pct = S.percent(F.col("units"), S.scalar_total(by_login, "units"), 2)
     return sums.select("criterion_no", "criterion", "grp", pct.alias("percentage"))
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tallyforge import fixed_values as V
 from tallyforge.functions.period import Period
-from tallyforge.operators.attribution import daily_usage
+from tallyforge.operators.attribution import activity_rollup, usage_of
 from tallyforge.operators.directory import Directory
+from tallyforge.operators.materialize import materialize
 from tallyforge.plans import datasets, event_path, extract_path, user_counts
 
 
@@ -123,8 +124,10 @@ def dataset_sections(
 def event_report(
     events: DataFrame, directory: Directory, period: Period, home: str = "Home department"
 ) -> DataFrame:
-    """The report of the event system.  All usage sections share one rollup of the events."""
-    usage = daily_usage(events, period, "account")
+    """The report of the event system; all sections share one rollup of the events."""
+    rollup = materialize(activity_rollup(events, period), "rollup")
+    usage = usage_of(rollup)
+    active = rollup.select(F.col("user").alias("username")).distinct()
     persons = event_path.percent_by_person(usage, directory)
     groups = joined_groups(event_path.percent_by_demographic(persons))
     return report_rows(
@@ -133,9 +136,7 @@ def event_report(
                 1, V.TITLE_INSTITUTION_USAGE, event_path.percent_by_institution(usage, directory),
                 "institution", F.col("percentage"),
             ),
-            _account_holders(
-                2, user_counts.account_holders(directory, events, period, home=home)
-            ),
+            _account_holders(2, user_counts.account_holders_of(directory, active, home=home)),
             section(
                 3, V.TITLE_ASTRONOMERS.format(home=home),
                 user_counts.astronomers_by_department(directory),
@@ -160,7 +161,7 @@ def extract_report(
     discarded: Iterable[str] = V.DISCARDED_ACCOUNTS,
 ) -> DataFrame:
     """The report of the extract system."""
-    charged = extract_path.charged_usage(extract, discarded)
+    charged = materialize(extract_path.charged_usage(extract, discarded), "charged")
     demographic = extract_path.percent_by_demographic(charged, directory)
     group_text = F.format_string("%s:  %s%%", "grp", F.col("percentage").cast("string"))
     return report_rows(

@@ -101,7 +101,19 @@ def account_holders(
 
     The ten counts are one conditional aggregate over one pass of the directory and of the events.
     """
-    active = active_usernames(events, period).withColumn("active", F.lit(True))
+    return account_holders_of(
+        directory, active_usernames(events, period), department_id, home
+    )
+
+
+def account_holders_of(
+    directory: Directory,
+    active_users: DataFrame,
+    department_id: int = V.HOME_DEPARTMENT_ID,
+    home: str = "Home department",
+) -> DataFrame:
+    """``account_holders`` for users already known to be active, each once."""
+    active = active_users.withColumn("active", F.lit(True))
     users = people(directory).select("user_id", "username", "gender", "is_student")
     sites = places(directory).select("department_id", "is_astronomy", F.lit(True).alias("placed"))
     rows = (

@@ -8,15 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime sizes decide the join strategy: nothing is hinted, so a side is broadcast only when its
-# measured size is below the threshold, and a skewed sort-merge partition is split.
+# measured size is below the threshold.  A skewed sort-merge partition is split, even where that
+# costs another shuffle.  Column call sites are not recorded: each costs round trips to the JVM.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_dirs: list[tempfile.TemporaryDirectory] = []
