@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge import schemas
-from tallyforge.functions.labels import strip
+from tallyforge.functions.labels import strip, words
 
 
 def log_glob(path_glob: str, month: str | None = None, year: int | str | None = None) -> str:
@@ -62,8 +62,7 @@ def read_usage_extract(spark: SparkSession, path: str) -> DataFrame:
 
 def read_roster(spark: SparkSession, path: str) -> DataFrame:
     """White-space separated roster, five fields; blank lines are skipped."""
-    text = spark.read.text(path).select(strip(F.col("value")).alias("value"))
-    fields = text.filter(F.length("value") > 0).select(F.split("value", r"\s+").alias("f"))
-    return fields.select(
+    fields = spark.read.text(path).select(F.explode(F.array(words(F.col("value")))).alias("f"))
+    return fields.filter(F.get("f", F.lit(0)) != "").select(
         *[F.get("f", F.lit(i)).alias(c.name) for i, c in enumerate(schemas.ROSTER.fields)]
     )

@@ -82,6 +82,20 @@ def test_stream_loads_new_files_once_and_the_ledger_finds_what_it_misses(spark,
     assert stored(spark, table) == [("e1", "ann"), ("e5", "ann"), ("e9", "ann")]
 
 
+def test_ids_bound_to_their_date_read_only_its_partition(spark, tmp_path):
+    table, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
+
+    def load(name, *events_, **options):
+        (tmp_path / name).write_text("\n".join(events_))
+        ingest_changed_files(spark, f"{tmp_path}/{name}", table, ledger, **options)
+
+    load("events_a", event(1), event(86400 * 3))
+    load("events_b", event(1, "dup"), event(2), event(86400 * 5), id_fixes_date=True)
+    assert stored(spark, table) == [
+        ("e1", "ann"), ("e2", "ann"), ("e259200", "ann"), ("e432000", "ann"),
+    ]
+
+
 def test_stored_table_is_pruned_by_date(spark, tmp_path):
     (tmp_path / "events_a").write_text("\n".join(event(86400 * i) for i in range(4)))
     table = str(tmp_path / "table")

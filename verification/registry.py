@@ -12,6 +12,7 @@ from tallyforge.functions import labels as L
 from tallyforge.functions import period as P
 from tallyforge.functions.events import parse_events, quarantine
 from tallyforge.operators import attribution, directory, event_store, filters
+from tallyforge.operators.materialize import materialize
 from tallyforge.operators.latest import first_by, newest_first
 from tallyforge.operators.residual import residual_percent
 from tallyforge.plans import (
@@ -128,10 +129,9 @@ def flt_drop_admin_usage(v):
 
 @query
 def snk_append_new_events(v):
-    order = ("l_partkey", "l_suppkey")
-    batch = parse_events(v.log_lines())
-    stored = batch.filter(F.col("l_orderkey") % 3 == 0)
-    fresh = event_store.new_events(batch, stored, order)
+    """As ``append_events`` does it: the batch is parsed once, then matched with what is stored."""
+    first = event_store.first_per_event(parse_events(v.log_lines()), ("l_partkey", "l_suppkey"))
+    fresh = event_store.not_stored(materialize(first, "batch"), v.stored_ids())
     return fresh.select(
         "event_id", "user", "account", F.col("service_units").cast("double").alias("units")
     )

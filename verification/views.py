@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge import fixed_values as V
@@ -15,6 +15,7 @@ DATASET_PERIOD = Period.of("2024-01-01", "2024-01-15")
 DATASET_ADMINS = ["0", "1"]
 EVENT_ADMINS = ["u3", "u17"]
 FIRST_EPOCH = 883612800
+HOUSEHOLD = "IF(c_mktsegment = 'HOUSEHOLD', 1, 0)"
 
 # Declared schemas of the given tables that are read: opening one needs no look at its footer.
 GIVEN = {
@@ -43,81 +44,73 @@ class Views:
 
     def institutions(self) -> DataFrame:
         nation, region = self.given("nation"), self.given("region")
-        joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
-        country = F.when(F.col("n_regionkey") == 0, "AU").otherwise(F.col("r_name"))
-        return joined.select(
-            F.col("n_nationkey").cast("bigint").alias("id"),
-            F.col("n_name").alias("name"),
-            country.alias("country"),
+        return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS id",
+            "n_name AS name",
+            "CASE WHEN n_regionkey = 0 THEN 'AU' ELSE r_name END AS country",
         )
 
     def departments(self) -> DataFrame:
-        rows = self.given("nation").select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("k"))
-        return rows.select(
-            (F.col("n_nationkey") * 2 + F.col("k")).cast("bigint").alias("id"),
-            F.col("n_nationkey").cast("bigint").alias("institution_id"),
-            F.concat_ws("/", "n_name", "k").alias("name"),
-            (1 - F.col("k")).alias("is_astronomy"),
+        rows = self.given("nation").selectExpr("*", "explode(array(0, 1)) AS k")
+        return rows.selectExpr(
+            "CAST(n_nationkey * 2 + k AS BIGINT) AS id",
+            "CAST(n_nationkey AS BIGINT) AS institution_id",
+            "concat_ws('/', n_name, k) AS name",
+            "1 - k AS is_astronomy",
         )
 
     def users(self) -> DataFrame:
-        return self.given("customer").select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("username"),
-            F.lit("Customer").alias("first_name"),
-            F.substring("c_name", 10, 100).alias("last_name"),
-            F.concat("c_name", F.lit("@example.org")).alias("email_address"),
-            (F.col("c_custkey") % 3).cast("int").alias("gender"),
-            _is_household().alias("is_student"),
+        return self.given("customer").selectExpr(
+            "c_custkey AS id",
+            "c_name AS username",
+            "'Customer' AS first_name",
+            "substring(c_name, 10) AS last_name",
+            "concat(c_name, '@example.org') AS email_address",
+            "CAST(c_custkey % 3 AS INT) AS gender",
+            f"{HOUSEHOLD} AS is_student",
         )
 
     def user_systems(self) -> DataFrame:
-        key = F.col("c_custkey")
-        systems = F.array_compact(F.array(F.when(key % 2 == 0, 1), F.when(key % 3 != 0, 2)))
-        return self.given("customer").select(
-            key.alias("user_id"), F.explode(systems).alias("system_id")
+        return self.given("customer").selectExpr(
+            "c_custkey AS user_id",
+            """explode(array_compact(array(
+                 IF(c_custkey % 2 = 0, 1, NULL), IF(c_custkey % 3 <> 0, 2, NULL)))) AS system_id""",
         )
 
     def affiliations(self) -> DataFrame:
-        key, nation = F.col("c_custkey"), F.col("c_nationkey")
-
-        def row(department: Column, start: str, end: Column) -> Column:
-            return F.struct(
-                department.cast("bigint").alias("department_id"),
-                F.lit(start).cast("date").alias("start_date"),
-                end.cast("date").alias("end_date"),
-            )
-
-        still_open = F.lit(None)
-        rows = F.array(
-            row(nation * 2 + key % 2, "1995-01-01", F.when(key % 5 == 0, "1997-06-30")),
-            F.when(key % 5 == 0, row((nation + 7) % 25 * 2, "1997-07-01", still_open)),
-            F.when(key % 11 == 0, row((nation + 3) % 25 * 2 + 1, "1996-01-01", still_open)),
-        )
-        return self.given("customer").select(
-            key.alias("user_id"), F.inline(F.array_compact(rows))
+        return self.given("customer").selectExpr(
+            "c_custkey AS user_id",
+            """inline(array_compact(array(
+                 named_struct(
+                   'department_id', c_nationkey * 2 + c_custkey % 2,
+                   'start_date', DATE'1995-01-01',
+                   'end_date', IF(c_custkey % 5 = 0, DATE'1997-06-30', NULL)),
+                 IF(c_custkey % 5 = 0, named_struct(
+                   'department_id', CAST((c_nationkey + 7) % 25 * 2 AS BIGINT),
+                   'start_date', DATE'1997-07-01', 'end_date', CAST(NULL AS DATE)), NULL),
+                 IF(c_custkey % 11 = 0, named_struct(
+                   'department_id', CAST((c_nationkey + 3) % 25 * 2 + 1 AS BIGINT),
+                   'start_date', DATE'1996-01-01', 'end_date', CAST(NULL AS DATE)), NULL))))""",
         )
 
     def projects(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.given("supplier").select(
-            key.alias("id"),
-            F.concat(F.when(key % 2 == 0, "p").otherwise("oz"), key.cast("string")).alias("code"),
-            F.col("s_name").alias("name"),
-            key.alias("project_administrator"),
-            (1 + key % 2).cast("int").alias("system_id"),
+        return self.given("supplier").selectExpr(
+            "s_suppkey AS id",
+            "concat(IF(s_suppkey % 2 = 0, 'p', 'oz'), s_suppkey) AS code",
+            "s_name AS name",
+            "s_suppkey AS project_administrator",
+            "CAST(1 + s_suppkey % 2 AS INT) AS system_id",
         )
 
     def project_users(self) -> DataFrame:
-        line = self.given("lineitem").filter((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 20 == 0))
+        line = self.given("lineitem").filter("l_linenumber = 1 AND l_orderkey % 20 = 0")
         orders = self.given("orders").select("o_orderkey", "o_custkey")
-        pairs = (
-            line.join(orders, line.l_orderkey == orders.o_orderkey)
-            .select(F.col("l_suppkey").alias("project_id"), F.col("o_custkey").alias("user_id"))
-            .distinct()
+        pairs = line.join(orders, line.l_orderkey == orders.o_orderkey).selectExpr(
+            "l_suppkey AS project_id", "o_custkey AS user_id"
+        )
+        return pairs.distinct().selectExpr(
+            "project_id * 10000000000 + user_id AS id", "project_id", "user_id"
         )
-        number = F.col("project_id") * 10_000_000_000 + F.col("user_id")
-        return pairs.select(number.alias("id"), "project_id", "user_id")
 
     def directory(self) -> Directory:
         return Directory(lambda table: getattr(self, table)())
@@ -128,16 +121,15 @@ class Views:
         """One event per line item.  Customer names are their formatted keys, so no third join."""
         line = self.given("lineitem")
         orders = self.given("orders").select("o_orderkey", "o_custkey")
-        supplier = F.col("l_suppkey")
-        project = F.concat(F.when(supplier % 2 == 0, "p").otherwise("oz"), supplier.cast("string"))
-        return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        return line.join(orders, line.l_orderkey == orders.o_orderkey).selectExpr(
             "l_orderkey",
             "l_linenumber",
-            F.col("l_shipdate").alias("time"),
-            F.when(F.col("l_linestatus") == "F", V.JOB_END).otherwise("JOBSTART").alias("type"),
-            F.format_string("Customer#%09d", "o_custkey").alias("user"),
-            F.when(supplier % 7 == 0, "root").otherwise(project).alias("account"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("service_units"),
+            "l_shipdate AS time",
+            "IF(l_linestatus = 'F', 'JOBEND', 'JOBSTART') AS type",
+            "format_string('Customer#%09d', o_custkey) AS user",
+            """CASE WHEN l_suppkey % 7 = 0 THEN 'root'
+                 ELSE concat(IF(l_suppkey % 2 = 0, 'p', 'oz'), l_suppkey) END AS account""",
+            "CAST(l_quantity AS DECIMAL(18,2)) AS service_units",
         )
 
     def usage_extract(self) -> DataFrame:
@@ -154,65 +146,65 @@ class Views:
 
     def log_lines(self) -> DataFrame:
         """One 56-token log line per line item, with its key columns."""
-        order, number = F.col("l_orderkey"), F.col("l_linenumber")
-        moment = F.lit(FIRST_EPOCH) + order * 60
+        moment = f"({FIRST_EPOCH} + l_orderkey * 60)"
         tokens = {
-            "time_and_id": F.concat_ws(":", moment, F.concat_ws(".", order, number)),
-            "object": F.when(order % 29 == 0, "node").otherwise(V.JOB_OBJECT),
-            "job_id": F.lit("-"),
-            "type": F.when(F.col("l_linestatus") == "F", V.JOB_END).otherwise("JOBSTART"),
-            "nodes": F.lit("1"),
-            "cpus": F.when(order % 31 == 0, "bad").otherwise(number.cast("string")),
-            "user": F.concat(F.lit("u"), (F.col("l_partkey") % 40).cast("string")),
-            "group": F.lit("grp"),
-            "reqwall": F.lit("3600"),
-            "queue": F.lit("[q:1]"),
-            "submit_time": moment - 7200,
-            "start_time": moment - 3600 * number,
+            "time_and_id": f"concat({moment}, ':', l_orderkey, '.', l_linenumber)",
+            "object": "IF(l_orderkey % 29 = 0, 'node', 'job')",
+            "job_id": "'-'",
+            "type": "IF(l_linestatus = 'F', 'JOBEND', 'JOBSTART')",
+            "nodes": "'1'",
+            "cpus": "IF(l_orderkey % 31 = 0, 'bad', CAST(l_linenumber AS STRING))",
+            "user": "concat('u', l_partkey % 40)",
+            "group": "'grp'",
+            "reqwall": "'3600'",
+            "queue": "'[q:1]'",
+            "submit_time": f"{moment} - 7200",
+            "start_time": f"{moment} - 3600 * l_linenumber",
             "end_time": moment,
-            "features": F.lit("feat"),
-            "qos": F.lit("normal:high"),
-            "account": F.concat(F.lit("oz"), F.col("l_suppkey").cast("string")),
-            "partition": F.lit("part"),
-            "memory": F.lit("2048M"),
-            "rsv": F.lit("rsv1"),
-            "eligible_time": moment - 7000,
+            "features": "'feat'",
+            "qos": "'normal:high'",
+            "account": "concat('oz', l_suppkey)",
+            "partition": "'part'",
+            "memory": "'2048M'",
+            "rsv": "'rsv1'",
+            "eligible_time": f"{moment} - 7000",
         }
-        at = {V.EVENT_TOKENS[name]: column.cast("string") for name, column in tokens.items()}
-        line = F.concat_ws(" ", *[at.get(i, F.lit("-")) for i in range(V.EVENT_LINE_TOKENS)])
-        return self.given("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", line.alias("value")
+        at = {V.EVENT_TOKENS[name]: f"CAST({sql} AS STRING)" for name, sql in tokens.items()}
+        line = ", ".join(at.get(i, "'-'") for i in range(V.EVENT_LINE_TOKENS))
+        return self.given("lineitem").selectExpr(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", f"concat_ws(' ', {line}) AS value"
+        )
+
+    def stored_ids(self) -> DataFrame:
+        """IDs of the events an earlier load has stored: those of every third order."""
+        line = self.given("lineitem").filter(
+            "l_orderkey % 3 = 0 AND l_orderkey % 29 <> 0 AND l_orderkey % 31 <> 0"
+        )
+        return line.filter("l_linestatus = 'F'").selectExpr(
+            "concat(l_orderkey, '.', l_linenumber) AS event_id"
         )
 
     # Dataset service
 
     def dataset_jobs(self) -> DataFrame:
-        names = (
-            "web_multidark_a", "multidark_b", "vishnu_bolshoi_x", "bolshoi_planck",
-            "bolshoi", "mini_millennium", "other", "",
-        )
-        database = F.element_at(
-            F.array(*[F.lit(n) for n in names]), (F.col("event_id") % 8 + 1).cast("int")
-        )
-        return self.given("events").select(
-            F.col("user_id").cast("string").alias("username"),
-            database.alias("database"),
-            (F.col("event_type") != "error").alias("latestjobversion"),
-            F.col("ts").alias("insertdate"),
-            F.floor(F.col("value") * 1000000).cast("bigint").alias("filesize"),
-            F.floor(F.col("value") * 100).cast("bigint").alias("recordscount"),
+        return self.given("events").selectExpr(
+            "CAST(user_id AS STRING) AS username",
+            """element_at(array('web_multidark_a', 'multidark_b', 'vishnu_bolshoi_x', 'bolshoi_planck',
+                 'bolshoi', 'mini_millennium', 'other', ''), CAST(event_id % 8 + 1 AS INT)) AS database""",
+            "event_type <> 'error' AS latestjobversion",
+            "ts AS insertdate",
+            "CAST(floor(value * 1000000) AS BIGINT) AS filesize",
+            "CAST(floor(value * 100) AS BIGINT) AS recordscount",
         )
 
     def site_users(self) -> DataFrame:
-        customer = self.given("customer").filter(F.col("c_custkey") % 4 != 0)
-        nation = self.given("nation")
-        joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        return joined.select(
-            F.col("c_custkey").cast("string").alias("username"),
-            (F.col("c_custkey") % 3).cast("int").alias("gender"),
-            F.col("n_name").alias("institution"),
-            F.when(F.col("n_regionkey") == 0, "AU").otherwise(F.col("n_name")).alias("country"),
-            _is_household().alias("is_student"),
+        customer, nation = self.given("customer").filter("c_custkey % 4 <> 0"), self.given("nation")
+        return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+            "CAST(c_custkey AS STRING) AS username",
+            "CAST(c_custkey % 3 AS INT) AS gender",
+            "n_name AS institution",
+            "IF(n_regionkey = 0, 'AU', n_name) AS country",
+            f"{HOUSEHOLD} AS is_student",
         )
 
     # Reconciliation
@@ -220,65 +212,47 @@ class Views:
     def legacy_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Users, institutions and user-institution pairs of the legacy directory."""
         customer = self.given("customer")
-        users = customer.select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_name").alias("username"),
-            _is_household().alias("student"),
-            (F.col("c_custkey") % 3).cast("int").alias("gender"),
+        users = customer.selectExpr(
+            "c_custkey AS user_id",
+            "c_name AS username",
+            f"{HOUSEHOLD} AS student",
+            "CAST(c_custkey % 3 AS INT) AS gender",
         )
-        institutions = self.given("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("institution_id"),
-            F.col("n_name").alias("institution_code"),
+        institutions = self.given("nation").selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS institution_id", "n_name AS institution_code"
         )
-        pairs = customer.select(
-            F.col("c_custkey").alias("user_id"),
-            F.col("c_nationkey").cast("bigint").alias("institution_id"),
+        pairs = customer.selectExpr(
+            "c_custkey AS user_id", "CAST(c_nationkey AS BIGINT) AS institution_id"
         )
         return users, institutions, pairs
 
     def roster(self) -> DataFrame:
         customer, nation = self.given("customer"), self.given("nation")
-        key = F.col("c_custkey")
-        joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        letter = F.when(key % 3 == 2, "M").when(key % 3 == 1, "F").otherwise("-")
-        student = F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Y").otherwise("N")
-        flipped = F.when(F.col("c_mktsegment") == "HOUSEHOLD", "N").otherwise("Y")
-        return joined.select(
-            F.when(key % 19 == 0, F.concat(F.lit("ghost"), key.cast("string")))
-            .otherwise(F.col("c_name"))
-            .alias("username"),
-            F.when(key % 13 == 0, "XXX")
-            .when(key % 2 == 0, F.col("n_name"))
-            .otherwise(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")))
-            .alias("institution_code"),
-            F.lit("-").alias("field_2"),
-            F.when(key % 7 == 0, "M").otherwise(letter).alias("gender"),
-            F.when(key % 17 == 0, flipped).otherwise(student).alias("student"),
+        return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+            "IF(c_custkey % 19 = 0, concat('ghost', c_custkey), c_name) AS username",
+            """CASE WHEN c_custkey % 13 = 0 THEN 'XXX' WHEN c_custkey % 2 = 0 THEN n_name
+                 ELSE concat('N', n_nationkey) END AS institution_code""",
+            "'-' AS field_2",
+            """CASE WHEN c_custkey % 7 = 0 THEN 'M' WHEN c_custkey % 3 = 2 THEN 'M'
+                 WHEN c_custkey % 3 = 1 THEN 'F' ELSE '-' END AS gender""",
+            """CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN IF(c_custkey % 17 = 0, 'N', 'Y')
+                 ELSE IF(c_custkey % 17 = 0, 'Y', 'N') END AS student""",
         )
 
     def institution_code_map(self) -> DataFrame:
-        return self.given("nation").select(
-            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"),
-            F.col("n_name").alias("mapped_code"),
+        return self.given("nation").selectExpr(
+            "concat('N', n_nationkey) AS code", "n_name AS mapped_code"
         )
 
     # Ledger
 
     def file_listing(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        return self.given("nation").select(
-            F.concat(F.lit("events_"), key.cast("string")).alias("name"),
-            (key * 100).cast("bigint").alias("size"),
+        return self.given("nation").selectExpr(
+            "concat('events_', n_nationkey) AS name", "CAST(n_nationkey * 100 AS BIGINT) AS size"
         )
 
     def file_ledger(self) -> DataFrame:
-        key = F.col("n_nationkey")
-        size = F.when(key % 3 == 0, key * 100).otherwise(key * 90)
-        return self.given("nation").filter(key % 4 != 0).select(
-            F.concat(F.lit("events_"), key.cast("string")).alias("name"),
-            size.cast("bigint").alias("size"),
+        return self.given("nation").filter("n_nationkey % 4 <> 0").selectExpr(
+            "concat('events_', n_nationkey) AS name",
+            "CAST(n_nationkey * IF(n_nationkey % 3 = 0, 100, 90) AS BIGINT) AS size",
         )
-
-
-def _is_household() -> Column:
-    return F.when(F.col("c_mktsegment") == "HOUSEHOLD", 1).otherwise(0)
