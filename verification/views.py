@@ -171,7 +171,12 @@ class Views:
         }
         at = {V.EVENT_TOKENS[name]: f"CAST({sql} AS STRING)" for name, sql in tokens.items()}
         line = ", ".join(at.get(i, "'-'") for i in range(V.EVENT_LINE_TOKENS))
-        return self.given("lineitem").selectExpr(
+        items = self.given("lineitem")
+        cores = self.spark.sparkContext.defaultParallelism
+        if len(items.inputFiles()) < cores:
+            # One small file is one task; logs come as many files, so spread it like them.
+            items = items.repartition(cores)
+        return items.selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", f"concat_ws(' ', {line}) AS value"
         )
 
