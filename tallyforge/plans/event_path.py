@@ -99,6 +99,14 @@ def percent_by_national_user(usage: DataFrame, directory: Directory) -> DataFram
     )
 
 
+def percent_by_national_user_text(shares: DataFrame) -> DataFrame:
+    """One fixed-width line per user: name, institution, username and share."""
+    line = F.format_string(
+        "%-30s %-50s %-20s %s ", "name", "institution", "username", F.col("percentage").cast("string")
+    )
+    return shares.select("username", "institution", line.alias("line"))
+
+
 def percent_by_person(usage: DataFrame, directory: Directory) -> DataFrame:
     """Share per user and attributes at event time, rounded to two places, codes as labels."""
     keys = PERSON_KEYS + ["country", "gender", "is_student", "is_astronomy"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge import fixed_values as V
 from tallyforge.functions import labels as L
 from tallyforge.functions import period as P
-from tallyforge.functions.events import parse_events, quarantine
+from tallyforge.functions.events import epoch_to_timestamp, parse_events, quarantine
 from tallyforge.operators import attribution, directory, event_store, filters
 from tallyforge.operators.materialize import materialize
 from tallyforge.operators.latest import first_by, newest_first
@@ -50,7 +50,7 @@ def write_log_files(v: Views) -> str:
     """The log lines as text files, in one folder per month named in the files' own style."""
     lines = v.log_lines()
     moment = F.split_part(F.split_part("value", F.lit(" "), F.lit(2)), F.lit(":"), F.lit(1))
-    stamp = F.timestamp_seconds(moment.cast("bigint"))
+    stamp = epoch_to_timestamp(moment.cast("bigint"))
     root = working_folder(v.spark, "logs")
     lines.select(
         "value", F.concat(F.lit("events_"), F.date_format(stamp, "MMM_yyyy")).alias("log")
@@ -327,6 +327,12 @@ def use_pct_national_users(v):
     return event_path.percent_by_national_user(_daily(v), v.directory())
 
 
+@query
+def use_pct_national_users_text(v):
+    shares = event_path.percent_by_national_user(_daily(v), v.directory())
+    return event_path.percent_by_national_user_text(shares)
+
+
 @query
 def use_pct_by_person(v):
     return event_path.percent_by_person(_daily(v), v.directory())

@@ -252,6 +252,16 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
              AND e.ts >= m.start_date AND (e.ts <= m.end_date OR m.end_date IS NULL), total t
            GROUP BY ALL""",
     ),
+    "national_share": (
+        ("finished", "member", "total"),
+        """SELECT m.first_name || ' ' || m.last_name AS name, m.institution, m.username,
+             round(sum(e.service_units)::DOUBLE * 100.0 / any_value(t.units), 2) AS percentage
+           FROM finished e JOIN (SELECT DISTINCT department_id, department, institution, username,
+               first_name, last_name, start_date, end_date FROM member
+               WHERE is_astronomy = 1 AND country = 'AU') m ON e.username = m.username
+             AND e.ts >= m.start_date AND (e.ts <= m.end_date OR m.end_date IS NULL), total t
+           GROUP BY m.first_name, m.last_name, m.institution, m.username""",
+    ),
     "demographic_rows": (
         ("person_share",),
         """SELECT c AS criterion, CASE c WHEN 'gender' THEN gender WHEN 'student' THEN student
@@ -599,15 +609,12 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         ("institution_share",),
         f"SELECT institution, percentage, {PERCENT_TEXT} FROM institution_share",
     ),
-    "use_pct_national_users": (
-        ("finished", "member", "total"),
-        """SELECT m.first_name || ' ' || m.last_name AS name, m.institution, m.username,
-             round(sum(e.service_units)::DOUBLE * 100.0 / any_value(t.units), 2) AS percentage
-           FROM finished e JOIN (SELECT DISTINCT department_id, department, institution, username,
-               first_name, last_name, start_date, end_date FROM member
-               WHERE is_astronomy = 1 AND country = 'AU') m ON e.username = m.username
-             AND e.ts >= m.start_date AND (e.ts <= m.end_date OR m.end_date IS NULL), total t
-           GROUP BY m.first_name, m.last_name, m.institution, m.username""",
+    "use_pct_national_users": (("national_share",), "SELECT * FROM national_share"),
+    "use_pct_national_users_text": (
+        ("national_share",),
+        """SELECT username, institution, rpad(name, 30, ' ') || ' ' || rpad(institution, 50, ' ') || ' '
+             || rpad(username, 20, ' ') || ' ' || percentage::VARCHAR || ' ' AS line
+           FROM national_share""",
     ),
     "use_pct_by_person": (("person_share",), "SELECT * FROM person_share"),
     "use_pct_by_demographic": (("demographic",), "SELECT * FROM demographic"),
