@@ -82,6 +82,20 @@ def load_table(
     return table if schema is None else conform(table, schema)
 
 
+def load_events(
+    spark: SparkSession,
+    source: ParquetSource | JdbcSource,
+    name: str = "job_event",
+    id_column: str = "ID",
+) -> DataFrame:
+    """A relational table of finished jobs in the columns of the event table.
+
+    Usage finer than the event table's decimals is rounded half up to them.
+    """
+    table = source.read(spark, name).withColumnRenamed(id_column, "event_id")
+    return conform(table, schemas.EVENT)
+
+
 def legacy_users(users: DataFrame, institutions: DataFrame, user_institutions: DataFrame) -> DataFrame:
     """Legacy directory rows: one per user and institution."""
     return (

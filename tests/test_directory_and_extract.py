@@ -4,13 +4,15 @@ from decimal import Decimal
 import pytest
 
 from tallyforge import schemas
+from tallyforge.functions.events import parse_events
 from tallyforge.operators import directory as dirs
 from tallyforge.operators.filters import all_of
 from tallyforge.plans import collaboration, extract_path
 from tallyforge.sources.files import read_usage_extract
-from tallyforge.sources.tables import ParquetSource, load_table
+from tallyforge.sources.tables import ParquetSource, load_events, load_table
 
 from tests.conftest import rows_of, sorted_rows
+from tests.test_event_lines import line, lines
 from tests.test_usage import small
 
 D = dt.date
@@ -161,6 +163,17 @@ def test_extract_file(spark, tmp_path):
     ]
 
 
+def test_relational_event_table(spark, tmp_path):
+    parsed = parse_events(lines(spark, line()))
+    as_stored = parsed.withColumnRenamed("event_id", "ID").withColumns(
+        {"service_units": parsed["service_units"].cast("double"), "nodes": parsed["nodes"].cast("bigint")}
+    )
+    as_stored.write.parquet(str(tmp_path / "job_event"))
+    loaded = load_events(spark, ParquetSource(str(tmp_path)))
+    assert loaded.schema.simpleString() == schemas.EVENT.simpleString()
+    assert rows_of(loaded) == rows_of(parsed)
+
+
 def test_directory_from_parquet(spark, tmp_path, make_directory):
     directory = small(make_directory)
     for attribute, (name, _) in dirs.TABLES.items():
