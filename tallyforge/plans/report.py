@@ -217,8 +217,10 @@ def write_report(report: DataFrame, path: str, fmt: str = "parquet") -> None:
 def write_report_text(report: DataFrame, path: str) -> None:
     """Write the lines in reading order, each section under its title.
 
-    The files of the folder, taken by name, hold the report in order.
+    The files of the folder, taken by name, hold the report in order.  The rows are written once
+    before, as both lines and titles are taken from them.
     """
+    report = materialize(report, "report")
     lines = report_text(report).select("section_no", F.lit(1).alias("part"), "order_key", "label", "line")
     titles = report.select("section_no", "section").distinct().select(
         "section_no",
