@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import main_text, packing, token_shards, url_rules
+from tallyforge.llm import main_text, packing, quality, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -19,6 +19,20 @@ def op1_html_extraction(spark, folder):
     return main_text.extract_main_text(table(spark, folder, "pages"))
 
 
+PASSING = 0.3
+
+
+def op4_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = quality.learn_quality(docs, table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        quality.in_fold("doc_id", 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= PASSING).cast("int").alias("predicted"),
+    )
+
+
 def op5_url_filter(spark, folder):
     return url_rules.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
@@ -30,6 +44,18 @@ def op6_packing(spark, folder):
     )
 
 
+def op8_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    index = toxicity.learn_toxicity(docs, table(spark, folder, "labels"))
+    return toxicity.score_toxicity(docs, index).select(
+        "doc_id",
+        quality.in_fold("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= PASSING).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op10_token_shards(spark, folder):
     ordered = token_shards.in_training_order(table(spark, folder, "documents"))
     return ordered.select(
@@ -39,7 +65,14 @@ def op10_token_shards(spark, folder):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_extraction, op5_url_filter, op6_packing, op10_token_shards)
+    for f in (
+        op1_html_extraction,
+        op4_quality,
+        op5_url_filter,
+        op6_packing,
+        op8_toxicity,
+        op10_token_shards,
+    )
 }
 
 _HOST = r"""translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
