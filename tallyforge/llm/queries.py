@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import main_text, packing, quality, token_shards, toxicity, url_rules
+from tallyforge.llm import main_text, near_duplicates, packing, quality, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -56,6 +56,10 @@ def op8_toxicity(spark, folder):
     )
 
 
+def op9_minhash_near_dedup(spark, folder):
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_token_shards(spark, folder):
     ordered = token_shards.in_training_order(table(spark, folder, "documents"))
     return ordered.select(
@@ -71,6 +75,7 @@ QUERIES = {
         op5_url_filter,
         op6_packing,
         op8_toxicity,
+        op9_minhash_near_dedup,
         op10_token_shards,
     )
 }
