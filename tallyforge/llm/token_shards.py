@@ -29,6 +29,8 @@ TOKENS, RECORDS_PER_SHARD, ROUNDS, KEY = 1024, 8192, 6, 20_240_601
 ID_BYTES = 2
 #: Records that a task hands on at a time.
 HANDED_ON = 256
+#: First numbers of up to this many tasks are sent to all executors (some 20 MB), more are joined.
+SENT_TASKS = 1_000_000
 
 
 def permuted(numbers: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
@@ -122,6 +124,8 @@ def in_training_order(
     counts = made.groupBy("task").agg(F.count("*").alias("n"))
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    if counts.count() <= SENT_TASKS:
+        firsts = F.broadcast(firsts)
     size = made.count()
 
     @F.pandas_udf("bigint")
