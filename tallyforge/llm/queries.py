@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import embedding_links, main_text, near_duplicates, packing, quality, token_shards, toxicity, url_rules
+from tallyforge.llm import decontamination, embedding_links, main_text, near_duplicates, packing, quality, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -19,6 +19,10 @@ def op1_html_extraction(spark, folder):
     return main_text.extract_main_text(table(spark, folder, "pages"))
 
 
+def op2_decontamination(spark, folder):
+    return decontamination.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_embedding_near_dedup(spark, folder):
     return embedding_links.link_embeddings(table(spark, folder, "embeddings"))
 
@@ -75,6 +79,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction,
+        op2_decontamination,
         op3_embedding_near_dedup,
         op4_quality,
         op5_url_filter,
