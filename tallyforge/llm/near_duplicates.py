@@ -120,11 +120,13 @@ def whole_groups(batches, keys: int):
         yield held
 
 
-def neighbours(rows: DataFrame, reach: int, least: float) -> DataFrame:
+def neighbours(rows: DataFrame, reach: int, least: float, each: bool = False) -> DataFrame:
     """Pairs of ids close to each other in a block whose sketches agree in a share of ``least``.
 
     ``rows`` has region, block, part, deeper, id, sketch.  Up to ``reach`` places apart in sorted order
-    are compared, and only rows of different parts (a row's component, or itself).
+    are compared, and only rows of different parts (a row's component, or itself).  With ``each`` a row
+    keeps only its best and its smallest partner of the block: a, the best, how well it agrees, and
+    the smallest, one row for each row that has a partner.
     """
 
     def compare(batches):
@@ -133,29 +135,45 @@ def neighbours(rows: DataFrame, reach: int, least: float) -> DataFrame:
             sketch = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, MINIMA)
             begins = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (block[1:] != block[:-1])])
             largest = int(np.diff(np.r_[begins, len(ids)]).max())
+            best, partner = np.full(len(ids), -1.0), np.zeros(len(ids), np.int64)
+            smallest = np.full(len(ids), np.iinfo(np.int64).max)
             for apart in range(1, min(reach, largest - 1) + 1):
                 same = (region[apart:] == region[:-apart]) & (block[apart:] == block[:-apart])
                 left = np.flatnonzero(same & (part[apart:] != part[:-apart]))
                 agreed = (sketch[left] == sketch[left + apart]).mean(1)
                 good = agreed >= least
                 left = left[good]
+                if each:
+                    for one, two in ((left, left + apart), (left + apart, left)):
+                        better = agreed[good] > best[one]
+                        best[one] = np.where(better, agreed[good], best[one])
+                        partner[one] = np.where(better, ids[two], partner[one])
+                        smallest[one] = np.minimum(smallest[one], ids[two])
+                    continue
                 a, b = ids[left], ids[left + apart]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agreed[good])],
                     names=["a", "b", "agreed"],
                 )
+            if each:
+                has = np.flatnonzero(best >= 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[has]) for x in (ids, partner, best, smallest)], names=["a", "b", "agreed", "smallest"]
+                )
 
     columns = ("region", "block", "part", "deeper", "id", "sketch")
     placed = rows.select(*columns).repartition("region", "block").sortWithinPartitions("region", "block", "deeper", "id")
-    return placed.mapInArrow(compare, schema("a bigint, b bigint, agreed double"))
+    return placed.mapInArrow(compare, schema("a bigint, b bigint, agreed double" + ", smallest bigint" * each))
 
 
 def confirmed(docs: DataFrame, key: str, pairs: DataFrame, percent: int) -> DataFrame:
     """Those pairs whose full shingle sets have the similarity asked for."""
     ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    if pairs.count() <= SENT_KEYS // 2:
-        ends = F.broadcast(ends)
-    texts = need(docs, key, "text").select(F.col(key).cast("bigint").alias("id"), "text").join(ends, "id")
+    concerned = materialize(ends.select("id").distinct(), "concerned")
+    if concerned.count() <= SENT_KEYS:
+        concerned = F.broadcast(concerned)
+    texts = need(docs, key, "text").select(F.col(key).cast("bigint").alias("id"), "text")
+    texts = texts.join(concerned, "id", "left_semi").join(ends, "id")
 
     def check(batches):
         for batch in whole_groups(batches, 2):
@@ -213,10 +231,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 75) ->
     least = percent / 100 - SLACK
     blocks = F.ceil(F.col("crowd") / REGION)
     near = members.withColumn("block", F.pmod(F.xxhash64("id", "region"), blocks)).withColumn("part", F.col("id"))
-    found = neighbours(near, NEIGHBOURS, least)
-    both = found.select("a", "b", "agreed", F.explode(F.array("a", "b")).alias("id"))
-    other = F.col("a") + F.col("b") - F.col("id")
-    chosen = both.groupBy("id").agg(F.max(F.struct("agreed", -other)).alias("best"), F.min(other).alias("smallest"))
+    found = neighbours(near, NEIGHBOURS, least, each=True)
+    chosen = found.groupBy(F.col("a").alias("id")).agg(
+        F.max(F.struct("agreed", -F.col("b"))).alias("best"), F.min("smallest").alias("smallest")
+    )
     partner = F.explode(F.array(-F.col("best")["col2"], F.col("smallest"))).alias("partner")
     pairs = chosen.select("id", partner).select(F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b"))
     pairs = materialize(pairs.distinct(), "pairs")
