@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, embedding_links, main_text, near_duplicates, packing, quality, token_shards, toxicity, url_rules
+from tallyforge.llm import decontamination, embedding_links, main_text, near_duplicates, packing, quality, repeats, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -52,6 +52,17 @@ def op6_packing(spark, folder):
     )
 
 
+def op7_suffix_array_dedup(spark, folder):
+    found = repeats.find_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        repeats.removed_bytes().alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_toxicity(spark, folder):
     docs = table(spark, folder, "documents")
     index = toxicity.learn_toxicity(docs, table(spark, folder, "labels"))
@@ -84,6 +95,7 @@ QUERIES = {
         op4_quality,
         op5_url_filter,
         op6_packing,
+        op7_suffix_array_dedup,
         op8_toxicity,
         op9_minhash_near_dedup,
         op10_token_shards,
