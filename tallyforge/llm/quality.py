@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.llm.common import need, schema, text_rounds
 
@@ -190,23 +191,24 @@ def learn_quality(
     return fit(np.concatenate(bags), firsts, made["label"].to_numpy())
 
 
-def score_quality(docs: DataFrame, model: AttentionModel | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of every row and its score, from the whole text.
+def score_quality(
+    docs: DataFrame, model: AttentionModel | None, keep: tuple[str, ...] = ("doc_id",), score: str = "score"
+) -> DataFrame:
+    """The columns ``keep`` of every row and, named ``score``, its score from the whole text.
 
     A null text counts as empty; an empty text is one passage of zeros; without a model (no labels of
     both kinds) every score is 0.5.  Repeated rows each get a row.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     given = need(docs, *dict.fromkeys((*keep, "text")))
     place = given.columns.index("text")
 
-    def score(batches):
+    def scored(batches):
         for batch in batches:
             scores = [np.zeros(0)]
             for first, end, data, offsets in text_rounds(batch.column(place)):
                 scores.append(np.full(end - first, 0.5) if model is None else model.score(*passages(data, offsets)))
             kept = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(scores))], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(scores))], names=[*keep, score])
 
-    columns = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-    return given.mapInArrow(score, schema(f"{columns}, score double"))
+    columns = [T.StructField(f.name, f.dataType) for c in keep for f in given.schema.fields if f.name == c]
+    return given.mapInArrow(scored, T.StructType([*columns, T.StructField(score, T.DoubleType())]))

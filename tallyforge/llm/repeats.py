@@ -19,9 +19,11 @@ equal names wherever they stand.  Consecutive windows of one name are one piece
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.llm.common import buckets_for, mixed, need, schema, text_rounds
 
@@ -182,17 +184,24 @@ class _Block:
         return order, [lowest[k] for k in order], found
 
 
-def find_repeats(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_repeats(
+    docs: DataFrame,
+    key: str = "doc_id",
+    length: int = LENGTH,
+    block_bytes: int = BLOCK_BYTES,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """One row per document: key, bytes, removed spans (start and end bytes) and what is kept, as bytes.
 
     A byte is removed if a string of ``length`` bytes that covers it also stands in a document with a
     smaller key; strings are judged on the input.  Texts are UTF-8 bytes, a null text is empty; what
     is kept may begin or end inside a character.  Texts shorter than ``length`` are kept.  Rows that
     repeat a key do not count against each other.  A row with a null key is kept whole and counts
-    against none.  An empty table gives an empty result.
+    against none.  An empty table gives an empty result.  Columns named in ``carry`` follow.
     """
     blocks = buckets_for(docs, "text", block_bytes)
-    given = need(docs, key, "text").select(F.col(key).cast("bigint").alias("doc"), "text")
+    carried = [f"carried {i}" for i in range(len(carry))]
+    given = need(docs, key, "text", *carry).toDF("doc", "text", *carried).withColumn("doc", F.col("doc").cast("bigint"))
     # The same exchange serves all three passes over the text.
     block = F.pmod(F.xxhash64("doc", F.octet_length("text")), F.lit(blocks)).cast("int")
     dealt = given.where("doc is not null").withColumn("block", block).repartition(blocks, "block")
@@ -290,17 +299,41 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, blo
                     result["ends"].append(edge[1::2].tolist())
                     result["kept"].append(data[a:b][~gone[a:b]].tobytes())
         longs = pa.list_(pa.int64())
-        return pa.table(result, pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("starts", longs), ("ends", longs), ("kept", pa.binary())]))
+        out = pa.table(result, pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("starts", longs), ("ends", longs), ("kept", pa.binary())]))
+        for column in carried:
+            out = out.append_column(column, table.column(column))
+        return out
 
     marked = dealt.groupBy("block").cogroup(answered.union(settled_rows).groupBy("block")).applyInArrow(
-        mark, schema("doc bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
+        mark,
+        T.StructType(
+            [
+                *schema("doc bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary").fields,
+                *(T.StructField(c, given.schema[c].dataType) for c in carried),
+            ]
+        ),
     )
     text = F.coalesce("text", F.lit(""))
     nothing = F.array().cast("array<bigint>")
     unnamed = given.where("doc is null").select(
-        "doc", F.octet_length(text).cast("bigint"), nothing, nothing, text.cast("binary")
+        "doc", F.octet_length(text).cast("bigint"), nothing, nothing, text.cast("binary"), *map(F.col, carried)
     )
-    return marked.union(unnamed).withColumnRenamed("doc", key)
+    return marked.union(unnamed).toDF(key, "n_bytes", "starts", "ends", "kept", *carry)
+
+
+def cut_texts(docs: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = (), size: str = "n_bytes", **options) -> DataFrame:
+    """Key, text without the repeats of ``find_repeats``, bytes before (named ``size``), carried columns.
+
+    Of a character that was cut in part nothing stays.  Null texts come back empty.
+    """
+
+    @F.pandas_udf("string")
+    def characters(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda x: x.decode("utf-8", "ignore"))
+
+    names = [f"carried {i}" for i in range(len(carry))]
+    found = find_repeats(docs, key, carry=carry, **options).toDF("key", "size", "starts", "ends", "kept", *names)
+    return found.select("key", characters("kept").alias("text"), "size", *names).toDF(key, "text", size, *carry)
 
 
 def removed_bytes() -> Column:
