@@ -29,7 +29,7 @@ from tallyforge.llm.common import buckets_for, mixed, need, schema, text_rounds
 
 LENGTH, GRAM = 50, 16
 #: Windows of a piece at most, and bytes of text in a block.
-LONGEST, BLOCK_BYTES = 35, 16_000_000
+LONGEST, BLOCK_BYTES = 35, 4_000_000
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -84,8 +84,7 @@ def run_length_index(text: np.ndarray, bounds: np.ndarray):
     smaller than any byte and ordered as the strings are.  Samples are ascending by position.
     """
     n, sizes = len(text), np.diff(bounds)
-    ends = np.repeat(bounds[1:], sizes)  # of the string of each byte
-    left = ends - np.arange(n)
+    left = np.repeat(bounds[1:], sizes) - np.arange(n)  # bytes to the end of the string
     key = np.zeros(n, np.uint64)
     for step in range(8):
         value = np.zeros(n, np.uint64)
