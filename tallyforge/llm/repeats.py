@@ -85,46 +85,55 @@ def run_length_index(text: np.ndarray, bounds: np.ndarray):
     """
     n, sizes = len(text), np.diff(bounds)
     left = np.repeat(bounds[1:], sizes) - np.arange(n)  # bytes to the end of the string
-    key = np.zeros(n, np.uint64)
-    for step in range(8):
+    # Seven bytes, then how many of them are in the string: an end sorts before any byte, also 0.
+    depth = 7
+    key = np.zeros(n + depth, np.uint64)
+    for step in range(depth):
         value = np.zeros(n, np.uint64)
         value[: n - step] = text[step:]
-        key = key << np.uint64(8) | np.where(step < left, value, np.uint64(0))
-    # A byte 0 sorts like the end of a string; the length left tells them apart.
-    depth = 8
-    rank = _ranks(key, np.minimum(left, depth))
+        value[step >= left] = 0
+        key[:n] |= value << np.uint64(56 - 8 * step)
+    key[:n] |= np.minimum(left, depth).astype(np.uint64)
+    seven, distinct = key, 0
+    rank, kinds = _ranks(seven[:n])
     longest = int(sizes.max(initial=0))
-    while depth < longest:
-        later = np.zeros(n, np.int64)
-        later[: n - depth] = rank[depth:] + 1
+    while depth < longest and distinct < kinds < n:
+        later = np.zeros(n, np.uint64)
+        later[: n - depth] = rank[depth:] + np.uint64(1)
         later[left <= depth] = 0
-        rank = _ranks(rank.astype(np.uint64) << np.uint64(32) | later.astype(np.uint64), None)
+        distinct = kinds
+        rank, kinds = _ranks(rank << np.uint64(32) | later)
         depth *= 2
     order = np.argsort(rank, kind="stable")
-    before = np.where(order == bounds[:-1][np.searchsorted(bounds, order, "right") - 1], -1 - order, text[order - 1])
+    before = text[order - 1].astype(np.int64)
+    at_start = np.zeros(n, bool)
+    at_start[bounds[:-1]] = True
+    before[at_start[order]] = -1 - order[at_start[order]]  # the signs all differ
     heads = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
     position = order[heads]
     neighbour = np.where(heads > 0, order[heads - 1], -1)
     prefix = np.zeros(len(heads), np.int64)
-    going = np.flatnonzero(heads > 0)
-    room = np.minimum(left[position], left[neighbour])
-    while len(going):  # byte by byte, only those that still agree
-        going = going[prefix[going] < room[going]]
-        going = going[text[position[going] + prefix[going]] == text[neighbour[going] + prefix[going]]]
-        prefix[going] += 1
+    going, reached = np.flatnonzero(heads > 0), 0
+    while len(going):  # seven bytes at a time, only those that agreed so far
+        one, two = position[going] + reached, neighbour[going] + reached
+        differ = seven[one] ^ seven[two]
+        same = sum((differ < np.uint64(1 << (64 - 8 * k))).astype(np.int64) for k in range(1, 8))
+        room = np.minimum(left[position[going]], left[neighbour[going]])
+        prefix[going] = np.minimum(reached + same, room)
+        reached += 7
+        going = going[(same == 7) & (room > reached)]
     by_text = np.argsort(position)
     return position[by_text], neighbour[by_text], prefix[by_text]
 
 
-def _ranks(key: np.ndarray, second: np.ndarray | None) -> np.ndarray:
-    order = np.argsort(key, kind="stable") if second is None else np.lexsort((second, key))
+def _ranks(key: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rank of each value among the different ones, and how many these are."""
+    order = np.argsort(key)
     sorted_ = key[order]
     new = np.r_[False, sorted_[1:] != sorted_[:-1]]
-    if second is not None:
-        new[1:] |= second[order][1:] != second[order][:-1]
-    rank = np.empty(len(key), np.int64)
+    rank = np.empty(len(key), np.uint64)
     rank[order] = np.cumsum(new)
-    return rank
+    return rank, int(new.sum()) + 1
 
 
 def smallest_documents(text: np.ndarray, bounds: np.ndarray, documents: np.ndarray, length: int) -> np.ndarray:
