@@ -27,7 +27,9 @@ from pyspark.sql import types as T
 
 from tallyforge.llm.common import buckets_for, mixed, need, schema, text_rounds
 
-LENGTH, GRAM = 50, 16
+# Bytes of a string that counts, and of the grams that name its windows, three words of eight.
+LENGTH, GRAM = 50, 24
+_FACTORS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 #: Windows of a piece at most, and bytes of text in a block.
 LONGEST, BLOCK_BYTES = 35, 4_000_000
 
@@ -41,7 +43,10 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
     grams = data.astype(np.uint64)
     for width in (1, 2, 4):
         grams = grams[:-width] | grams[width:] << np.uint64(8 * width)
-    lowest = mixed(mixed(grams[: -(GRAM - 8)].copy()) + grams[GRAM - 8 :])
+    lowest = np.zeros(len(data) - GRAM + 1, np.uint64)
+    for number, factor in enumerate(_FACTORS):
+        lowest += grams[8 * number : 8 * number + len(lowest)] * factor
+    lowest = mixed(lowest)
     wanted, span = length - GRAM + 1, 1
     while span < wanted:
         step = min(span, wanted - span)
@@ -85,26 +90,35 @@ def run_length_index(text: np.ndarray, bounds: np.ndarray):
     """
     n, sizes = len(text), np.diff(bounds)
     left = np.repeat(bounds[1:], sizes) - np.arange(n)  # bytes to the end of the string
-    # Seven bytes, then how many of them are in the string: an end sorts before any byte, also 0.
-    depth = 7
-    key = np.zeros(n + depth, np.uint64)
-    for step in range(depth):
-        value = np.zeros(n, np.uint64)
-        value[: n - step] = text[step:]
-        value[step >= left] = 0
-        key[:n] |= value << np.uint64(56 - 8 * step)
-    key[:n] |= np.minimum(left, depth).astype(np.uint64)
-    seven, distinct = key, 0
-    rank, kinds = _ranks(seven[:n])
+    bits = int(n).bit_length()
+    # The eight bytes from each byte on, and the first few of them with how many are in the string:
+    # an end sorts before any byte, also 0.
+    held = np.zeros(n + 8, np.uint8)
+    held[:n] = text
+    eight = np.ndarray((n + 1,), "<u8", held, strides=(1,))
+    depth = min(7, (61 - bits) // 8)
+    key = eight[:n].byteswap() >> np.uint64(64 - 8 * depth)
+    short = np.flatnonzero(left < depth)
+    beyond = (8 * (depth - left[short])).astype(np.uint64)
+    key[short] = key[short] >> beyond << beyond
+    key = key << np.uint64(3) | np.minimum(left, depth).astype(np.uint64)
+    # The rank of a suffix is the number of smaller ones; only tied suffixes are sorted on.
+    rank, tied = _ranks(key, 8 * depth + 3, np.arange(n), None, bits)
     longest = int(sizes.max(initial=0))
-    while depth < longest and distinct < kinds < n:
-        later = np.zeros(n, np.uint64)
-        later[: n - depth] = rank[depth:] + np.uint64(1)
-        later[left <= depth] = 0
-        distinct = kinds
-        rank, kinds = _ranks(rank << np.uint64(32) | later)
+    while depth < longest and len(tied):
+        later = np.zeros(len(tied), np.uint64)
+        inside = left[tied] > depth
+        later[inside] = rank[tied[inside] + depth] + np.uint64(1)
+        rank, tied = _ranks(rank[tied] << np.uint64(bits) | later, 2 * bits, tied, rank, bits)
         depth *= 2
-    order = np.argsort(rank, kind="stable")
+    # Equal suffixes that end together are in the order of their strings.
+    order = np.empty(n, np.int64)
+    place = rank.astype(np.int64)
+    tied = tied[np.lexsort((tied, place[tied]))]
+    same = np.r_[False, place[tied][1:] == place[tied][:-1]] if len(tied) else np.zeros(0, bool)
+    count = np.arange(len(tied))
+    place[tied] += count - np.maximum.accumulate(np.where(same, 0, count))
+    order[place] = np.arange(n)
     before = text[order - 1].astype(np.int64)
     at_start = np.zeros(n, bool)
     at_start[bounds[:-1]] = True
@@ -114,26 +128,45 @@ def run_length_index(text: np.ndarray, bounds: np.ndarray):
     neighbour = np.where(heads > 0, order[heads - 1], -1)
     prefix = np.zeros(len(heads), np.int64)
     going, reached = np.flatnonzero(heads > 0), 0
-    while len(going):  # seven bytes at a time, only those that agreed so far
-        one, two = position[going] + reached, neighbour[going] + reached
-        differ = seven[one] ^ seven[two]
-        same = sum((differ < np.uint64(1 << (64 - 8 * k))).astype(np.int64) for k in range(1, 8))
+    while len(going):  # eight bytes at a time, only those that agreed so far
+        differ = eight[position[going] + reached] ^ eight[neighbour[going] + reached]
         room = np.minimum(left[position[going]], left[neighbour[going]])
-        prefix[going] = np.minimum(reached + same, room)
-        reached += 7
-        going = going[(same == 7) & (room > reached)]
+        on = (differ == 0) & (room > reached + 8)
+        ended, differ = going[~on], differ[~on]
+        agreed = np.zeros(len(ended), np.int64)
+        for k in range(1, 9):
+            agreed += differ << np.uint64(64 - 8 * k) == 0
+        prefix[ended] = np.minimum(reached + agreed, room[~on])
+        going, reached = going[on], reached + 8
     by_text = np.argsort(position)
     return position[by_text], neighbour[by_text], prefix[by_text]
 
 
-def _ranks(key: np.ndarray) -> tuple[np.ndarray, int]:
-    """The rank of each value among the different ones, and how many these are."""
-    order = np.argsort(key)
-    sorted_ = key[order]
-    new = np.r_[False, sorted_[1:] != sorted_[:-1]]
-    rank = np.empty(len(key), np.uint64)
-    rank[order] = np.cumsum(new)
-    return rank, int(new.sum()) + 1
+def _ranks(key: np.ndarray, width: int, at: np.ndarray, rank: np.ndarray | None, bits: int):
+    """Ranks with those of ``at`` settled by ``key``, and which of these are tied still.
+
+    Of suffixes ranked before, the key has their rank above its lower ``bits``.
+    """
+    own = int(len(key)).bit_length()
+    if width + own <= 64:  # number and key in one word sort several times faster
+        both = np.sort(key << np.uint64(own) | np.arange(len(key), dtype=np.uint64))
+        order = (both & np.uint64((1 << own) - 1)).astype(np.int64)
+        key = both >> np.uint64(own)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    at = at[order]
+    number = np.arange(len(key))
+    new = np.r_[True, key[1:] != key[:-1]]
+    first = np.maximum.accumulate(np.where(new, number, 0))
+    if rank is None:
+        rank, value = np.empty(len(key), np.uint64), first.astype(np.uint64)
+    else:
+        group = key >> np.uint64(bits)
+        begun = np.maximum.accumulate(np.where(np.r_[True, group[1:] != group[:-1]], number, 0))
+        value = group + (first - begun).astype(np.uint64)
+    rank[at] = value
+    return rank, at[~new | np.r_[~new[1:], False]]
 
 
 def smallest_documents(text: np.ndarray, bounds: np.ndarray, documents: np.ndarray, length: int) -> np.ndarray:
@@ -142,18 +175,24 @@ def smallest_documents(text: np.ndarray, bounds: np.ndarray, documents: np.ndarr
     ``documents`` has one for each string.  Of use only where a window fits in the string.
     """
     position, neighbour, prefix = run_length_index(text, bounds)
-    n = len(text)
-    sample = np.searchsorted(position, np.arange(n), "right") - 1
+    n, sizes = len(text), np.diff(bounds)
+    lowest = np.repeat(documents, sizes)
+    sampled = np.zeros(n, bool)
+    sampled[position] = True
+    sample = np.cumsum(sampled) - 1
     moved = np.arange(n) - position[sample]
-    tied = prefix[sample] - moved >= length
-    root = np.where(tied, neighbour[sample] + moved, np.arange(n))
-    while ((further := root[root]) != root).any():
-        root = further
-    own = np.repeat(documents, np.diff(bounds))
-    fits = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n) >= length
-    lowest = np.full(n, np.iinfo(np.int64).max)
-    np.minimum.at(lowest, root[fits], own[fits])
-    return lowest[root]
+    tied = np.flatnonzero(prefix[sample] - moved >= length)
+    root = np.arange(n)
+    root[tied] = neighbour[sample[tied]] + moved[tied]
+    while ((further := root[root[tied]]) != root[tied]).any():
+        root[tied] = further
+    # Of a tie, those that a window fits into count; the root itself is one of them.
+    concerned = np.unique(np.r_[tied, root[tied]])
+    fits = concerned[np.repeat(bounds[1:], sizes)[concerned] - concerned >= length]
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, root[fits], lowest[fits])
+    lowest[fits] = least[root[fits]]
+    return lowest
 
 
 class _Block:
