@@ -10,8 +10,9 @@
     candidates; every class keeps its best and its smallest one.
 4.  Candidates are confirmed on their full sets and joined to components.
 5.  What lies together in a region but not yet in one component is compared whole, signature by
-    signature, and confirmed again.  So no link is lost to the choice in 3, and the links inside a
-    large group of copies are never listed.
+    signature: again the best and the smallest partner of another component as long as that ties
+    components, then all that is left.  So no link is lost to the choice in 3, and the links inside
+    a large group of copies are never listed.
 """
 
 from __future__ import annotations
@@ -241,22 +242,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 75) ->
     links = materialize(confirmed(docs, key, pairs, percent), "confirmed")
     roots = components(links)
 
-    # What shares a region and not a component yet.  The rows outside the largest component of their
-    # region visit all its blocks, so that they meet every row, and each other.
-    parts = members.join(roots.withColumnRenamed("vertex", "id"), "id", "left")
-    parts = parts.withColumn("part", F.coalesce("root", "id")).drop("root")
-    shares = parts.groupBy("region", "part").agg(F.count("*").alias("rows"))
-    leading = shares.groupBy("region").agg(
-        F.count("*").alias("parts"), F.max(F.struct("rows", "part"))["part"].alias("leading")
-    )
-    split = parts.join(leading.where("parts > 1"), "region")
-    everywhere = F.sequence(F.lit(0).cast("bigint"), blocks - 1)
-    own = F.array(F.pmod(F.xxhash64("id", "region"), blocks))
-    split = split.withColumn("block", F.explode(F.when(F.col("part") == F.col("leading"), own).otherwise(everywhere)))
-    rest = neighbours(split, 1 << 30, least).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = materialize(confirmed(docs, key, materialize(rest, "pairs"), percent), "confirmed")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    # What shares a region and not a component yet: every row tries its best and its smallest partner
+    # of another component, as long as that ties components; then all that is left is tried.
+    for each in (True, False):
+        while True:
+            apart = _apart(members, roots, blocks)
+            if each:
+                found = neighbours(apart, 1 << 30, least, each=True)
+                partner = F.explode(F.array("b", "smallest")).alias("partner")
+                rest = found.select(F.col("a").alias("id"), partner).select(
+                    F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")
+                )
+            else:
+                rest = neighbours(apart, 1 << 30, least).select("a", "b")
+            rest = materialize(rest.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+            more = materialize(confirmed(docs, key, rest, percent), "confirmed")
+            if more.isEmpty():
+                break
+            pairs, links = pairs.union(rest), links.union(more)
+            roots = components(links)
+            if not each:
+                break
 
     classed = classes.select("name1", "name2", F.col("id").alias("class")).join(
         roots.withColumnRenamed("vertex", "class"), "class", "left"
@@ -271,6 +277,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 75) ->
     )
 
 
+def _apart(members: DataFrame, roots: DataFrame, blocks) -> DataFrame:
+    """Members of regions that hold more than one component, with component and block.
+
+    The rows outside the largest component of their region visit all its blocks, so that they meet
+    every row, and each other.
+    """
+    parts = members.join(roots.withColumnRenamed("vertex", "id"), "id", "left")
+    parts = parts.withColumn("part", F.coalesce("root", "id")).drop("root")
+    shares = parts.groupBy("region", "part").agg(F.count("*").alias("rows"))
+    leading = shares.groupBy("region").agg(
+        F.count("*").alias("parts"), F.max(F.struct("rows", "part"))["part"].alias("leading")
+    )
+    apart = parts.join(leading.where("parts > 1"), "region")
+    everywhere = F.sequence(F.lit(0).cast("bigint"), blocks - 1)
+    own = F.array(F.pmod(F.xxhash64("id", "region"), blocks))
+    return apart.withColumn("block", F.explode(F.when(F.col("part") == F.col("leading"), own).otherwise(everywhere)))
+
+
 def sketch_of(signature: str):
     """One byte of each minimum."""
 
