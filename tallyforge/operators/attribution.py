@@ -7,14 +7,28 @@ from pyspark.sql import functions as F
 
 from tallyforge import fixed_values as V
 from tallyforge.functions.period import Period
-from tallyforge.operators.filters import finished_in
+from tallyforge.operators.filters import finished_in, in_period
+
+
+def units_sum(events: DataFrame, when: Column | None = None) -> Column:
+    """CPU hours of events, optionally of some of them: exact seconds are summed and divided once.
+
+    Events without CPU seconds, from another source, are summed by their service units.
+    """
+    name = "cpu_seconds" if "cpu_seconds" in events.columns else "service_units"
+    total = F.sum(F.col(name) if when is None else F.when(when, F.col(name)))
+    return _hours(total) if name == "cpu_seconds" else total
+
+
+def _hours(seconds: Column) -> Column:
+    return (seconds.cast("decimal(38,18)") / F.lit(3600).cast("decimal(4,0)")).cast("decimal(38,18)")
 
 
 def finished_usage(events: DataFrame, period: Period) -> DataFrame:
     """User, account and units of every finished job of a period."""
-    return finished_in(events, period).select(
-        "user", "account", F.col("service_units").alias("units")
-    )
+    exact = "cpu_seconds" in events.columns
+    units = _hours(F.col("cpu_seconds")) if exact else F.col("service_units")
+    return finished_in(events, period).select("user", "account", units.alias("units"))
 
 
 def daily_usage(events: DataFrame, period: Period, *more_keys: str) -> DataFrame:
@@ -28,7 +42,7 @@ def daily_usage(events: DataFrame, period: Period, *more_keys: str) -> DataFrame
     return (
         finished_in(events, period)
         .groupBy("user", *more_keys, day.alias("day"), (F.col("time") == day).alias("at_midnight"))
-        .agg(F.sum("service_units").alias("units"))
+        .agg(units_sum(events).alias("units"))
     )
 
 
@@ -41,11 +55,11 @@ def activity_rollup(events: DataFrame, period: Period) -> DataFrame:
     day = F.to_date("time")
     ended = F.col("type") == V.JOB_END
     return (
-        events.filter(period.covers(F.col("time")))
+        in_period(events, period)
         .groupBy("user", "account", day.alias("day"), (F.col("time") == day).alias("at_midnight"))
         .agg(
             F.count_if(ended).alias("finished"),
-            F.sum(F.when(ended, F.col("service_units"))).alias("units"),
+            units_sum(events, ended).alias("units"),
         )
     )
 

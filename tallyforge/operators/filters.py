@@ -17,9 +17,17 @@ FILTER_COLUMNS = frozenset(
 )
 
 
+def in_period(events: DataFrame, period: Period) -> DataFrame:
+    """Events of a period; of a stored table only the dates of the period are listed and opened."""
+    within = period.covers(F.col("time"))
+    if "event_date" in events.columns:
+        within &= F.col("event_date").between(F.lit(period.start), F.lit(period.end))
+    return events.filter(within)
+
+
 def finished_in(events: DataFrame, period: Period) -> DataFrame:
-    """Finished jobs of a period; both predicates are on bare columns and reach the scan."""
-    return events.filter((F.col("type") == V.JOB_END) & period.covers(F.col("time")))
+    """Finished jobs of a period; all predicates are on bare columns and reach the scan."""
+    return in_period(events, period).filter(F.col("type") == V.JOB_END)
 
 
 def all_of(pairs: Iterable[tuple[str, object]]) -> Column:

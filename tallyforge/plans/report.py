@@ -190,6 +190,9 @@ def extract_report(
 
 # Label width of each text section; the account table and the groups have their own.
 TEXT_WIDTHS = {1: 100, 3: 70, 4: 50}
+COUNT_WIDTHS = {3: 5}
+# Joined groups are parted by a bare colon; one before a blank belongs to the text.
+_JOINED = ":(?! )"
 
 
 def report_text(report: DataFrame) -> DataFrame:
@@ -201,10 +204,11 @@ def report_text(report: DataFrame) -> DataFrame:
     )
     for number, width in TEXT_WIDTHS.items():
         line = line.when(
-            F.col("section_no") == number, F.format_string(f"%-{width}s %s ", label, value)
+            F.col("section_no") == number,
+            F.format_string(f"%-{width}s %{COUNT_WIDTHS.get(number, '')}s ", label, value),
         )
     slashed = F.format_string(
-        "%s %s ", F.replace(label, F.lit(":"), F.lit("/")), F.replace(value, F.lit(":"), F.lit("/"))
+        "%s %s ", F.regexp_replace(label, _JOINED, "/"), F.regexp_replace(value, _JOINED, "/")
     )
     return report.select("section_no", "order_key", "label", line.otherwise(slashed).alias("line"))
 

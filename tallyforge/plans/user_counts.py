@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge import fixed_values as V
 from tallyforge.functions.period import Period
 from tallyforge.operators.directory import Directory, is_open, memberships, people, places
-from tallyforge.operators.filters import all_of
+from tallyforge.operators.filters import all_of, in_period
 
 Pairs = Iterable[tuple[str, object]]
 
@@ -21,7 +21,7 @@ def active_usernames(events: DataFrame, period: Period) -> DataFrame:
     The duplicate removal combines before its shuffle, so a heavy user sends one row per task.
     """
     return (
-        events.filter(period.covers(F.col("time")))
+        in_period(events, period)
         .select(F.col("user").alias("username"))
         .distinct()
     )

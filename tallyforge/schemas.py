@@ -12,7 +12,8 @@ TYPES = {
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
-    "UNITS": T.DecimalType(18, 6),
+    "SECONDS": T.DecimalType(38, 0),
+    "UNITS": T.DecimalType(38, 18),
 }
 
 
@@ -23,11 +24,11 @@ def _struct(columns: str) -> T.StructType:
 
 
 EVENT = _struct(
-    "event_id STRING, time TIMESTAMP_NTZ, type STRING, nodes INT, cpus INT, user STRING, "
+    "event_id STRING, time TIMESTAMP_NTZ, type STRING, nodes BIGINT, cpus BIGINT, user STRING, "
     "group STRING, account STRING, job_id STRING, submit_time TIMESTAMP_NTZ, "
     "start_time TIMESTAMP_NTZ, end_time TIMESTAMP_NTZ, eligible_time TIMESTAMP_NTZ, "
-    "queue STRING, reqwall INT, features STRING, memory INT, partition STRING, rsv STRING, "
-    "qos_requested STRING, qos_delivered STRING, service_units UNITS"
+    "queue STRING, reqwall BIGINT, features STRING, memory BIGINT, partition STRING, rsv STRING, "
+    "qos_requested STRING, qos_delivered STRING, service_units DOUBLE, cpu_seconds SECONDS"
 )
 STORED_EVENT = T.StructType(EVENT.fields + [T.StructField("event_date", T.DateType())])
 LEDGER = _struct("name STRING, size BIGINT")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge import schemas
 from tallyforge.functions.labels import strip, words
@@ -49,17 +50,46 @@ def list_files(spark: SparkSession, path_glob: str) -> DataFrame:
     return listing.select(F.col("path").alias("name"), F.col("length").alias("size"))
 
 
-def read_usage_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Pipe-separated, headerless usage extract: one row per user and account."""
+def _extract_rows(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    broken = T.StructField("_broken", T.StringType())
     return (
-        spark.read.schema(schemas.USAGE_EXTRACT)
+        spark.read.schema(T.StructType([*schemas.USAGE_EXTRACT.fields, broken]))
         .option("sep", "|")
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", "_broken")
         .csv(path)
     )
 
 
+def _unreadable(rows: DataFrame) -> Column:
+    return F.col("_broken").isNotNull() | F.col("used").isNull()
+
+
+def read_usage_extract(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    """Pipe-separated, headerless usage extract: one row per user and account.
+
+    A line that is too short or long, or whose usage cannot be read, fails the read; no usage is
+    lost in silence.  With ``strict=False`` such lines are left out: ``usage_extract_rejects`` has
+    them.
+    """
+    rows = _extract_rows(spark, path, "PERMISSIVE")
+    if strict:
+        told = F.concat(F.lit("unreadable line of the usage extract: "), F.coalesce("_broken", "login", F.lit("")))
+        used = F.when(_unreadable(rows), F.raise_error(told).cast("decimal(38,18)")).otherwise(F.col("used"))
+        rows = rows.withColumn("used", used)
+    else:
+        rows = rows.where(~_unreadable(rows))
+    return rows.drop("_broken")
+
+
+def usage_extract_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_usage_extract`` cannot read: login and account as far as read, and the line."""
+    rows = _extract_rows(spark, path, "PERMISSIVE")
+    return rows.where(_unreadable(rows)).select("login", "account", F.col("_broken").alias("value"))
+
+
 def read_roster(spark: SparkSession, path: str) -> DataFrame:
     """White-space separated roster, five fields; blank lines are skipped."""
     fields = spark.read.text(path).select(F.explode(F.array(words(F.col("value")))).alias("f"))

@@ -58,7 +58,9 @@ def make_events(spark):
     from pyspark.sql import types as T
 
     wanted = ("user", "account", "time", "type", "service_units")
+    # Events of another source: exact hours, no CPU seconds.
     fields = {f.name: f for f in schemas.EVENT.fields}
+    fields["service_units"] = T.StructField("service_units", T.DecimalType(18, 6))
     schema = T.StructType([fields[n] for n in wanted])
 
     def make(rows):

@@ -153,7 +153,7 @@ def test_event_report_in_order(spark, make_directory, make_events, tmp_path):
     assert text[0] == "Usage by Institution: "
     assert text[1] == f"{'Alpha':100s} 40.0% "
     assert "All:           4/4 " in text
-    assert f"{'Beta':70s} 2 " in text
+    assert f"{'Beta':70s}     2 " in text
     assert f"{'p002_big':50s} - " in text
     assert "Female/Male/None 40/60/0 " in text
 

@@ -8,8 +8,8 @@ from tallyforge.functions.events import parse_events
 from tallyforge.operators import directory as dirs
 from tallyforge.operators.filters import all_of
 from tallyforge.plans import collaboration, extract_path
-from tallyforge.sources.files import read_usage_extract
-from tallyforge.sources.tables import ParquetSource, load_events, load_table
+from tallyforge.sources.files import read_usage_extract, usage_extract_rejects
+from tallyforge.sources.tables import JdbcSource, ParquetSource, load_events, load_table
 
 from tests.conftest import rows_of, sorted_rows
 from tests.test_event_lines import line, lines
@@ -163,11 +163,24 @@ def test_extract_file(spark, tmp_path):
     ]
 
 
+def test_unreadable_extract_lines_are_not_lost(spark, tmp_path):
+    bad = ["c1|ann|Ann|oz1|much|3", "c1|bob|Bob|oz1", "c1|cy|Cy|oz1|1e40|", "c1|di|Di|oz1||3"]
+    (tmp_path / "use.txt").write_text("\n".join(["c1|eve|Eve|oz1|0.0000001|3", *bad]))
+    with pytest.raises(Exception, match="unreadable line of the usage extract"):
+        read_usage_extract(spark, str(tmp_path)).collect()
+    kept = read_usage_extract(spark, str(tmp_path), strict=False).collect()
+    assert [(r["login"], r["used"]) for r in kept] == [("eve", Decimal("0.0000001"))]
+    assert sorted(r["login"] for r in usage_extract_rejects(spark, str(tmp_path)).collect()) == ["ann", "bob", "cy", "di"]
+
+
+def test_fact_table_needs_a_partition_column(spark):
+    with pytest.raises(ValueError, match="partition column"):
+        load_events(spark, JdbcSource("jdbc:none"))
+
+
 def test_relational_event_table(spark, tmp_path):
     parsed = parse_events(lines(spark, line()))
-    as_stored = parsed.withColumnRenamed("event_id", "ID").withColumns(
-        {"service_units": parsed["service_units"].cast("double"), "nodes": parsed["nodes"].cast("bigint")}
-    )
+    as_stored = parsed.withColumnRenamed("event_id", "ID").drop("cpu_seconds")
     as_stored.write.parquet(str(tmp_path / "job_event"))
     loaded = load_events(spark, ParquetSource(str(tmp_path)))
     assert loaded.schema.simpleString() == schemas.EVENT.simpleString()

@@ -1,9 +1,14 @@
+import re
+
 from pyspark.sql import functions as F
 
 from tallyforge.operators import event_store
 from tallyforge.operators.filters import drop_admin_usage, excluding
 from tallyforge.sources.files import log_glob, read_event_log
-from tallyforge.streaming.ingest import current_ledger, ingest_changed_files, ingest_stream
+from tallyforge.functions.period import Period
+from tallyforge.operators.attribution import activity_rollup, daily_usage
+from tallyforge.plans.user_counts import active_usernames
+from tallyforge.streaming.ingest import REJECTS, current_ledger, ingest_changed_files, ingest_stream
 
 from tests.conftest import sorted_rows
 from tests.test_event_lines import line
@@ -106,6 +111,44 @@ def test_stored_table_is_pruned_by_date(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
+def test_period_queries_open_only_the_dates_of_the_period(spark, tmp_path, make_directory):
+    (tmp_path / "events_a").write_text("\n".join(event(86400 * i) for i in range(4)))
+    table = str(tmp_path / "table")
+    ingest_changed_files(spark, f"{tmp_path}/events_a", table, str(tmp_path / "ledger"))
+    events, period = event_store.reported_events(spark, table, ["root"]), Period.of("1998-07-10", "1998-07-11")
+    for frame in (daily_usage(events, period), activity_rollup(events, period), active_usernames(events, period)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        (filters,) = set(re.findall(r"PartitionFilters: \[([^]]*)\]", plan))
+        assert "event_date" in filters and ">= 1998-07-10" in filters and "<= 1998-07-11" in filters
+    assert sum(r["finished"] for r in activity_rollup(events, period).collect()) == 2
+
+
+def test_a_later_administrator_is_left_out_of_reports(spark, tmp_path):
+    (tmp_path / "events_a").write_text("\n".join([event(1, "ann"), event(2, "bob")]))
+    table, ledger = str(tmp_path / "table"), str(tmp_path / "ledger")
+    ingest_changed_files(spark, f"{tmp_path}/events_a", table, ledger)
+    assert [r["user"] for r in event_store.reported_events(spark, table, ["ann"]).collect()] == ["bob"]
+
+
+def test_first_row_of_an_id_blocks_later_ones_even_if_an_administrators(spark, tmp_path):
+    (tmp_path / "events_a").write_text("\n".join([event(1, "root"), event(1, "ann"), event(2, "ann")]))
+    table = str(tmp_path / "table")
+    ingest_changed_files(spark, f"{tmp_path}/events_a", table, str(tmp_path / "ledger"), admins=["root"])
+    assert stored(spark, table) == [("e2", "ann")]
+
+
+def test_rejects_of_a_grown_file_are_kept_once_and_staging_goes(spark, tmp_path):
+    table, ledger, rejects = (str(tmp_path / x) for x in ("table", "ledger", "rejects"))
+    log = tmp_path / "ev_f[1]*"
+    for text in (["broken", event(1)], ["broken", event(1), "broken", "other", event(2)]):
+        log.write_text("\n".join(text))
+        assert ingest_changed_files(spark, f"{tmp_path}/ev_*", table, ledger, rejects=rejects) == 1
+    kept = spark.read.schema(REJECTS).parquet(rejects).groupBy("value").agg(F.sum("times")).collect()
+    assert sorted(map(tuple, kept)) == [("broken", 2), ("other", 1)]
+    assert stored(spark, table) == [("e1", "ann"), ("e2", "ann")]
+    assert not list(tmp_path.glob("table.staging*"))
+
+
 def test_file_plan(spark):
     files = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "name string, size bigint")
     ledger = spark.createDataFrame([("a", 1), ("b", 1), ("z", 9)], "name string, size bigint")

@@ -80,4 +80,5 @@ def test_entry(spark):
     import __spark_entry__ as entry_point
 
     assert entry_point.entry(spark).columns == ["institution", "percentage", "percentage_text"]
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    assert set(QUERIES) == set(TWINS) <= set(entry_point.oracle_sql())

@@ -54,8 +54,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "person_project": (
         (),
         """SELECT DISTINCT l_suppkey AS project_id, o_custkey AS user_id
-           FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-           WHERE l_linenumber = 1 AND l_orderkey % 20 = 0""",
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     ),
     "job_event": (
         (),
@@ -154,7 +153,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
              n_name AS institution,
              CASE WHEN n_regionkey = 0 THEN 'AU' ELSE n_name END AS country,
              CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 1 ELSE 0 END AS is_student
-           FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 4 <> 0""",
+           FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     ),
     "legacy_user": (
         (),
@@ -189,16 +188,21 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "raw_event": (
         (),
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, array_to_string([
-               '-', t || ':' || l_orderkey || '.' || l_linenumber,
+               '-', t || CASE WHEN l_orderkey % 37 = 0 THEN '' ELSE ':' END
+                 || l_orderkey || '.' || l_linenumber % 4,
                CASE WHEN l_orderkey % 29 = 0 THEN 'node' ELSE 'job' END, '-',
                CASE WHEN l_linestatus = 'F' THEN 'JOBEND' ELSE 'JOBSTART' END, '1',
                CASE WHEN l_orderkey % 31 = 0 THEN 'bad' ELSE l_linenumber::VARCHAR END,
-               'u' || l_partkey % 40, 'grp', '3600', '-', '[q:1]', (t - 7200)::VARCHAR, '-',
-               (t - 3600 * l_linenumber)::VARCHAR, t::VARCHAR, '-', '-', '-', '-', '-', '-',
-               'feat', '-', '-', '-', 'normal:high', '-', 'oz' || l_suppkey, '-', '-', '-', '-',
-               'part', '-', '-', '-', '2048M', '-', '-', '-', '-', '-', 'rsv1', '-', '-', '-', '-',
+               'u' || l_partkey % 40, 'grp', '3600', '-',
+               CASE WHEN l_orderkey % 11 = 0 THEN '-' ELSE '[q:1]' END, (t - 7200)::VARCHAR, '-',
+               (t - 3600 * l_linenumber - l_partkey % 977)::VARCHAR, t::VARCHAR, '-', '-', '-', '-', '-', '-',
+               CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE 'feat' END, '-', '-', '-',
+               CASE WHEN l_orderkey % 41 = 0 THEN 'normal' WHEN l_orderkey % 7 = 0 THEN '-:high'
+                 WHEN l_orderkey % 7 = 1 THEN 'normal:-' ELSE 'normal:high' END, '-', 'oz' || l_suppkey, '-', '-', '-', '-',
+               'part', '-', '-', '-', l_orderkey * 1000000 || 'M', '-', '-', '-', '-', '-',
+               CASE WHEN l_orderkey % 5 = 0 THEN '-' ELSE 'rsv1' END, '-', '-', '-', '-',
                '-', '-', '-', '-', '-', '-', '-', (t - 7000)::VARCHAR], ' ') AS value
-           FROM (SELECT *, 883612800 + l_orderkey * 60 AS t FROM lineitem)""",
+           FROM (SELECT *, 883612800 + l_orderkey * 120 + l_linenumber AS t FROM lineitem)""",
     ),
     "token": (
         ("raw_event",),
@@ -209,24 +213,29 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
              split_part(t[2], ':', 2) AS event_id,
              make_timestamp(split_part(t[2], ':', 1)::BIGINT * 1000000) AS time, t[5] AS type,
-             t[6]::INT AS nodes, t[7]::INT AS cpus, t[8] AS "user", t[9] AS "group",
+             t[6]::BIGINT AS nodes, t[7]::BIGINT AS cpus, t[8] AS "user", t[9] AS "group",
              t[29] AS account, t[4] AS job_id,
              make_timestamp(t[13]::BIGINT * 1000000) AS submit_time,
              make_timestamp(t[15]::BIGINT * 1000000) AS start_time,
              make_timestamp(t[16]::BIGINT * 1000000) AS end_time,
              make_timestamp(t[56]::BIGINT * 1000000) AS eligible_time,
-             replace(replace(t[12], '[', ''), ':1]', '') AS queue, t[10]::INT AS reqwall,
-             t[23] AS features, split_part(t[38], 'M', 1)::INT AS memory, t[34] AS "partition",
-             t[44] AS rsv, split_part(t[27], ':', 1) AS qos_requested,
-             split_part(t[27], ':', 2) AS qos_delivered,
-             (t[16]::BIGINT - t[15]::BIGINT) * t[7]::INT / 3600.0 AS service_units
-           FROM token WHERE t[3] = 'job' AND t[5] = 'JOBEND' AND TRY_CAST(t[7] AS INT) IS NOT NULL""",
+             CASE WHEN t[12] = '-' THEN '' ELSE replace(replace(t[12], '[', ''), ':1]', '') END AS queue,
+             t[10]::BIGINT AS reqwall, CASE WHEN t[23] = '-' THEN '' ELSE t[23] END AS features,
+             split_part(t[38], 'M', 1)::BIGINT AS memory, t[34] AS "partition",
+             CASE WHEN t[44] = '-' THEN '' ELSE t[44] END AS rsv,
+             replace(split_part(t[27], ':', 1), '-', '') AS qos_requested,
+             replace(split_part(t[27], ':', 2), '-', '') AS qos_delivered,
+             ((t[16]::BIGINT - t[15]::BIGINT) * t[7]::BIGINT)::DOUBLE / 3600 AS service_units,
+             ((t[16]::BIGINT - t[15]::BIGINT) * t[7]::BIGINT)::DOUBLE AS cpu_seconds
+           FROM token WHERE t[3] = 'job' AND t[5] = 'JOBEND' AND TRY_CAST(t[7] AS BIGINT) IS NOT NULL
+             AND contains(t[2], ':') AND contains(t[27], ':')""",
     ),
     "stored": (
         ("parsed",),
-        """SELECT event_id, time::DATE AS event_date, service_units FROM (
-             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY l_partkey) AS rn
-             FROM parsed WHERE "user" NOT IN ('u3', 'u17')) WHERE rn = 1""",
+        """SELECT event_id, time::DATE AS event_date, cpu_seconds FROM (
+             SELECT *, row_number() OVER (PARTITION BY event_id
+                 ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+             FROM parsed) WHERE rn = 1 AND "user" NOT IN ('u3', 'u17')""",
     ),
     "institution_share": (
         ("finished", "member1", "total"),
@@ -437,7 +446,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 
 EVENT_COLUMNS = """event_id, time, type, nodes, cpus, "user", "group", account, job_id, submit_time,
   start_time, end_time, eligible_time, queue, reqwall, features, memory, "partition", rsv,
-  qos_requested, qos_delivered, round(service_units, 6)::DOUBLE AS service_units"""
+  qos_requested, qos_delivered, service_units, cpu_seconds"""
 PERCENT_TEXT = "coalesce(percentage::VARCHAR || '%', '-') AS percentage_text"
 
 # Query name -> (views it reads, SQL).
@@ -445,7 +454,7 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "src_event_log": (
         ("token",),
         """SELECT t[5] AS type, count(*) AS lines, sum(length(value))::BIGINT AS characters FROM token
-           WHERE strftime(make_timestamp(split_part(t[2], ':', 1)::BIGINT * 1000000), '%b%Y')
+           WHERE strftime(make_timestamp(t[56]::BIGINT * 1000000), '%b%Y')
              = 'Jan1998' GROUP BY 1""",
     ),
     "src_usage_extract": (
@@ -460,20 +469,23 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "evt_service_units": (
         ("parsed",),
-        """SELECT "user", count(*) AS jobs, sum(service_units::DECIMAL(18,6))::DOUBLE AS units
+        """SELECT "user", count(*) AS jobs, sum(cpu_seconds)::DOUBLE / 3600 AS units
            FROM parsed GROUP BY 1""",
     ),
     "evt_quarantine": (
         ("token",),
         """SELECT l_orderkey, l_linenumber, l_partkey,
              CASE WHEN t[3] <> 'job' THEN 'not a job' WHEN t[5] <> 'JOBEND' THEN 'not a finished job'
-               ELSE 'unreadable number' END AS reason
-           FROM token WHERE t[3] <> 'job' OR t[5] <> 'JOBEND' OR TRY_CAST(t[7] AS INT) IS NULL""",
+               WHEN NOT contains(t[2], ':') THEN 'no event id'
+               WHEN NOT contains(t[27], ':') THEN 'no delivered QOS' ELSE 'unreadable number' END AS reason
+           FROM token WHERE t[3] <> 'job' OR t[5] <> 'JOBEND' OR TRY_CAST(t[7] AS BIGINT) IS NULL
+             OR NOT contains(t[2], ':') OR NOT contains(t[27], ':')""",
     ),
     "flt_drop_admin_usage": (
         ("parsed",),
-        """SELECT event_id, "user", service_units::DOUBLE AS units FROM parsed
-           WHERE "user" NOT IN ('u3', 'u17')""",
+        """SELECT event_id, "user", service_units::DOUBLE AS units FROM (
+             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY l_partkey, l_suppkey) AS rn
+             FROM parsed) WHERE rn = 1 AND "user" NOT IN ('u3', 'u17')""",
     ),
     "snk_append_new_events": (
         ("parsed",),
@@ -493,10 +505,14 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT coalesce(f.name, l.name) AS name, coalesce(f.size, l.size) AS size
            FROM file_listing f FULL JOIN file_ledger l ON f.name = l.name""",
     ),
+    "use_pct_by_institution_stored": (
+        ("institution_share",),
+        f"SELECT institution, percentage, {PERCENT_TEXT} FROM institution_share",
+    ),
     "strm_ingest": (
         ("stored",),
         """SELECT event_date, count(*) AS events, count(DISTINCT event_id) AS event_ids,
-             sum(service_units::DECIMAL(18,6))::DOUBLE AS units FROM stored GROUP BY event_date""",
+             sum(cpu_seconds)::DOUBLE / 3600 AS units FROM stored GROUP BY event_date""",
     ),
     "dim_user_labels": (
         ("labelled1",),
@@ -699,7 +715,8 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
     "ds_active_user_profiles": (
         ("counted", "site_user"),
         """SELECT DISTINCT u.username, u.gender, u.institution, u.country, u.is_student
-           FROM counted c JOIN site_user u ON c.username = u.username""",
+           FROM counted c JOIN site_user u ON c.username = u.username
+           WHERE u.username::BIGINT % 4 <> 0""",
     ),
     "rec_user_matches": (("matches",), "SELECT * FROM matches"),
     "rec_summary": (
@@ -753,9 +770,10 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
              WHEN 2 THEN rpad(label || ':', 15, ' ')
                || CASE WHEN length(label) > 14 THEN substring(label || ':', 16) ELSE '' END
                || value || '/' || active_value || ' '
-             WHEN 3 THEN rpad(label, 70, ' ') || ' ' || value || ' '
+             WHEN 3 THEN rpad(label, 70, ' ') || ' ' || lpad(value, greatest(5, length(value))::INT, ' ') || ' '
              WHEN 4 THEN rpad(label, 50, ' ') || ' ' || value || ' '
-             ELSE replace(label, ':', '/') || ' ' || replace(value, ':', '/') || ' ' END AS line
+             ELSE replace(replace(label, ':', '/'), '/ ', ': ') || ' '
+               || replace(replace(value, ':', '/'), '/ ', ': ') || ' ' END AS line
            FROM event_report""",
     ),
 }

@@ -103,7 +103,7 @@ class Views:
         )
 
     def project_users(self) -> DataFrame:
-        line = self.given("lineitem").filter("l_linenumber = 1 AND l_orderkey % 20 = 0")
+        line = self.given("lineitem")
         orders = self.given("orders").select("o_orderkey", "o_custkey")
         pairs = line.join(orders, line.l_orderkey == orders.o_orderkey).selectExpr(
             "l_suppkey AS project_id", "o_custkey AS user_id"
@@ -118,15 +118,17 @@ class Views:
     # Usage
 
     def events(self) -> DataFrame:
-        """One event per line item.  Customer names are their formatted keys, so no third join."""
+        """One event per line item."""
         line = self.given("lineitem")
         orders = self.given("orders").select("o_orderkey", "o_custkey")
-        return line.join(orders, line.l_orderkey == orders.o_orderkey).selectExpr(
+        customer = self.given("customer").select("c_custkey", "c_name")
+        named = orders.join(customer, orders.o_custkey == customer.c_custkey)
+        return line.join(named, line.l_orderkey == named.o_orderkey).selectExpr(
             "l_orderkey",
             "l_linenumber",
             "l_shipdate AS time",
             "IF(l_linestatus = 'F', 'JOBEND', 'JOBSTART') AS type",
-            "format_string('Customer#%09d', o_custkey) AS user",
+            "c_name AS user",
             """CASE WHEN l_suppkey % 7 = 0 THEN 'root'
                  ELSE concat(IF(l_suppkey % 2 = 0, 'p', 'oz'), l_suppkey) END AS account""",
             "CAST(l_quantity AS DECIMAL(18,2)) AS service_units",
@@ -146,9 +148,10 @@ class Views:
 
     def log_lines(self) -> DataFrame:
         """One 56-token log line per line item, with its key columns."""
-        moment = f"({FIRST_EPOCH} + l_orderkey * 60)"
+        moment = f"({FIRST_EPOCH} + l_orderkey * 120 + l_linenumber)"
         tokens = {
-            "time_and_id": f"concat({moment}, ':', l_orderkey, '.', l_linenumber)",
+            "time_and_id": f"""concat({moment}, IF(l_orderkey % 37 = 0, '', ':'),
+                l_orderkey, '.', l_linenumber % 4)""",
             "object": "IF(l_orderkey % 29 = 0, 'node', 'job')",
             "job_id": "'-'",
             "type": "IF(l_linestatus = 'F', 'JOBEND', 'JOBSTART')",
@@ -157,25 +160,23 @@ class Views:
             "user": "concat('u', l_partkey % 40)",
             "group": "'grp'",
             "reqwall": "'3600'",
-            "queue": "'[q:1]'",
+            "queue": "IF(l_orderkey % 11 = 0, '-', '[q:1]')",
             "submit_time": f"{moment} - 7200",
-            "start_time": f"{moment} - 3600 * l_linenumber",
+            "start_time": f"{moment} - 3600 * l_linenumber - l_partkey % 977",
             "end_time": moment,
-            "features": "'feat'",
-            "qos": "'normal:high'",
+            "features": "IF(l_orderkey % 3 = 0, '-', 'feat')",
+            "qos": """CASE WHEN l_orderkey % 41 = 0 THEN 'normal' WHEN l_orderkey % 7 = 0 THEN '-:high'
+                WHEN l_orderkey % 7 = 1 THEN 'normal:-' ELSE 'normal:high' END""",
             "account": "concat('oz', l_suppkey)",
             "partition": "'part'",
-            "memory": "'2048M'",
-            "rsv": "'rsv1'",
+            "memory": "concat(l_orderkey * 1000000, 'M')",
+            "rsv": "IF(l_orderkey % 5 = 0, '-', 'rsv1')",
             "eligible_time": f"{moment} - 7000",
         }
         at = {V.EVENT_TOKENS[name]: f"CAST({sql} AS STRING)" for name, sql in tokens.items()}
         line = ", ".join(at.get(i, "'-'") for i in range(V.EVENT_LINE_TOKENS))
-        items = self.given("lineitem")
-        cores = self.spark.sparkContext.defaultParallelism
-        if len(items.inputFiles()) < cores:
-            # One small file is one task; logs come as many files, so spread it like them.
-            items = items.repartition(cores)
+        # Logs come as many files; the table is dealt evenly, in as many parts as its size asks for.
+        items = self.given("lineitem").hint("rebalance")
         return items.selectExpr(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", f"concat_ws(' ', {line}) AS value"
         )
@@ -186,7 +187,7 @@ class Views:
             "l_orderkey % 3 = 0 AND l_orderkey % 29 <> 0 AND l_orderkey % 31 <> 0"
         )
         return line.filter("l_linestatus = 'F'").selectExpr(
-            "concat(l_orderkey, '.', l_linenumber) AS event_id"
+            "concat(l_orderkey, '.', l_linenumber % 4) AS event_id"
         )
 
     # Dataset service
@@ -203,7 +204,7 @@ class Views:
         )
 
     def site_users(self) -> DataFrame:
-        customer, nation = self.given("customer").filter("c_custkey % 4 <> 0"), self.given("nation")
+        customer, nation = self.given("customer"), self.given("nation")
         return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
             "CAST(c_custkey AS STRING) AS username",
             "CAST(c_custkey % 3 AS INT) AS gender",
