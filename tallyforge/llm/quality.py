@@ -204,11 +204,12 @@ def score_quality(
 
     def scored(batches):
         for batch in batches:
-            scores = [np.zeros(0)]
+            # A round at a time goes back, so that carried texts are not held twice over.
             for first, end, data, offsets in text_rounds(batch.column(place)):
-                scores.append(np.full(end - first, 0.5) if model is None else model.score(*passages(data, offsets)))
-            kept = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.concatenate(scores))], names=[*keep, score])
+                scores = np.full(end - first, 0.5) if model is None else model.score(*passages(data, offsets))
+                part = batch.slice(first, end - first)
+                kept = [part.column(i) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], names=[*keep, score])
 
     columns = [T.StructField(f.name, f.dataType) for c in keep for f in given.schema.fields if f.name == c]
     return given.mapInArrow(scored, T.StructType([*columns, T.StructField(score, T.DoubleType())]))
