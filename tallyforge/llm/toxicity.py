@@ -1,11 +1,12 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine, with evidence.
 
 Words are runs of letters, lower-cased; the beginnings of words count as words of their own, for stems.
-A bounded sample of labelled texts serves as examples.  The terms are those words whose spread over
-toxic and other examples differs beyond chance (chi-square, and chi-square over examples); their document frequencies are counted over all documents.  The examples stand in an inverted index
-in blocks, with the largest weight of each term in each block.  For a document the blocks are taken
-by their upper bound and read until no bound can beat the k-th cosine found, so the k nearest are
-exact.  They vote by cosine, each class weighed by how thinly it was sampled, against a prior.
+A bounded sample of labelled texts serves as examples, and every word of them is a term.  Document
+frequencies are counted over all documents.  A term weighs its IDF times how far the share of toxic
+examples among those that hold it lies from the share among all, beyond chance; none weighs nothing.
+The cosine of a document with every example is summed in double precision, over a matrix for terms that
+many examples hold and over postings for the others, so the k nearest are exact.  They vote by a power
+of the cosine, each class weighed by how thinly it was sampled, against a prior.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from tallyforge.llm.common import need, schema, text_rounds
 from tallyforge.llm.quality import in_fold
 from tallyforge.llm.words import LETTERS, word_hashes
 
-#: Examples of each class, bytes of an example, terms; a term's least chi-square, the least of it over
-#: the examples, and the least number of examples with it; bytes of word beginnings.
-EXAMPLES_EACH, EXAMPLE_BYTES, TERMS = 4096, 65_536, 1024
-LEAST_CHI, LEAST_SHARE, LEAST_EXAMPLES, BEGINNINGS = 15.0, 0.02, 4, (4, 5, 6)
-LEVELS = (1, 2, 4)
-#: Neighbours that vote, weight of the prior against them, examples in a block of the index.
-NEIGHBOURS, PRIOR_WEIGHT, BLOCK = 25, 1.0, 64
+#: Examples of each class, bytes of an example, bytes of word beginnings.
+EXAMPLES_EACH, EXAMPLE_BYTES, BEGINNINGS = 4096, 65_536, (4, 5, 6)
+#: Weight of a term that tells nothing, and standard errors that are taken for chance.
+FLOOR, CHANCE = 0.02, 3.0
+#: Neighbours that vote, power of their cosine, weight of the prior against them.
+NEIGHBOURS, POWER, PRIOR_WEIGHT = 25, 6, 0.1
+#: Terms at most in the matrix, those that most examples hold; documents multiplied with it at a time.
+COMMON, TOGETHER = 1024, 64
 EVIDENCE = 3
 
 
@@ -48,76 +50,95 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     return np.tile(np.repeat(np.arange(len(offsets) - 1), np.diff(firsts)), 1 + len(BEGINNINGS)), hashes
 
 
-def term_counts(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray, levels: np.ndarray):
-    """(text, term number, count), sorted, of the terms of some texts that reach their level."""
+def term_counts(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray):
+    """(text, term number, count), sorted, of the terms of some texts."""
     text, hashes = _words(data, offsets)
     if not len(terms):
         return text[:0], text[:0], text[:0]
     at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
     known = terms[at] == hashes
     both, counts = np.unique(text[known] * len(terms) + at[known], return_counts=True)
-    reached = counts >= levels[both % len(terms)]
-    both = both[reached]
-    return both // len(terms), both % len(terms), counts[reached]
+    return both // len(terms), both % len(terms), counts
 
 
 @dataclass
 class ExampleIndex:
-    """Terms (sorted word hashes, with levels), their IDF, and the examples' postings by term and block."""
+    """Terms (sorted word hashes), their weights, and the examples' postings by term."""
 
     terms: np.ndarray
-    levels: np.ndarray
-    idf: np.ndarray
+    factor: np.ndarray  # of each term: IDF times how much it tells
     example: np.ndarray  # of each posting, sorted by term and example
-    weight: np.ndarray
-    where: np.ndarray  # first posting of (term, block), one more column for the end
-    highest: np.ndarray  # largest weight by term and block
+    counts: np.ndarray
+    where: np.ndarray  # first posting of each term, and the end
+    norm: np.ndarray  # of each example
     doc: np.ndarray
     toxic: np.ndarray
     vote: np.ndarray
     prior: float
 
     @classmethod
-    def build(cls, terms, levels, idf, text, term, counts, doc, toxic, vote, prior):
-        weight = (1 + np.log(counts)) * idf[term]
-        norm = np.sqrt(np.bincount(text, weight**2, minlength=len(doc)))
-        weight = weight / norm[text]
+    def build(cls, terms, telling, idf, text, term, counts, doc, toxic, vote, prior):
+        factor = np.asarray(idf * telling, float)
         order = np.lexsort((text, term))
-        text, term, weight = text[order], term[order], weight[order]
-        blocks = max(1, -(-len(doc) // BLOCK))
-        slot = term * blocks + text // BLOCK
-        where = np.searchsorted(slot, np.arange(len(terms) * blocks + 1))
-        highest = np.zeros(len(terms) * blocks)
-        np.maximum.at(highest, slot, weight)
-        return cls(terms, levels, idf, text, weight, where, highest.reshape(len(terms), blocks), doc, toxic, vote, prior)
+        text, term, counts = text[order], term[order], counts[order]
+        norm = np.sqrt(np.bincount(text, ((1 + np.log(counts)) * factor[term]) ** 2, minlength=len(doc)))
+        where = np.searchsorted(term, np.arange(len(terms) + 1))
+        text, counts = text.astype(np.min_scalar_type(len(doc))), counts.astype(np.min_scalar_type(counts.max(initial=1)))
+        return cls(terms, factor, text, counts, where, np.where(norm > 0, norm, 1.0), doc, toxic, vote, prior)
+
+    def _opened(self):
+        """Weights of the postings, the matrix of common terms, and each term's row in it or -1."""
+        if not hasattr(self, "_held"):
+            held = np.diff(self.where)
+            weight = (1 + np.log(self.counts.astype(float))) * np.repeat(self.factor, held) / self.norm[self.example]
+            common = np.argsort(-held, kind="stable")[:COMMON]
+            row = np.full(len(held), -1, np.int32)
+            row[common] = np.arange(len(common))
+            matrix = np.zeros((len(common), len(self.doc)))
+            for at, t in enumerate(common):
+                own = slice(self.where[t], self.where[t + 1])
+                matrix[at, self.example[own]] = weight[own]
+            self._held = weight, matrix, row
+        return self._held
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_held"}
+
+    def nearest_of_all(self, text: np.ndarray, term: np.ndarray, counts: np.ndarray, texts: int, k: int = NEIGHBOURS):
+        """For each text the k examples of highest cosine above zero (ties: the earlier one) and the cosines."""
+        weight, matrix, row = self._opened()
+        query = (1 + np.log(counts)) * self.factor[term]
+        query = query / np.sqrt(np.bincount(text, query**2, minlength=texts))[text]
+        ends = np.searchsorted(text, np.arange(texts + 1))
+        for start in range(0, texts, TOGETHER):
+            stop = min(start + TOGETHER, texts)
+            part = slice(ends[start], ends[stop])
+            common = row[term[part]] >= 0
+            left = np.zeros((stop - start, len(matrix)))
+            left[text[part][common] - start, row[term[part][common]]] = query[part][common]
+            sums = left @ matrix
+            for at in range(start, stop):
+                own = slice(ends[at], ends[at + 1])
+                rare = row[term[own]] < 0
+                t, cosine = term[own][rare], sums[at - start]
+                sizes = self.where[t + 1] - self.where[t]
+                if len(t):
+                    places = np.repeat(self.where[t] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                    cosine = cosine + np.bincount(
+                        self.example[places], weight[places] * np.repeat(query[own][rare], sizes), len(cosine)
+                    )
+                least = np.partition(cosine, -k)[-k] - 1e-9 if k < len(cosine) else 0
+                found = np.flatnonzero((cosine >= least) & (cosine > 0))
+                found = found[np.lexsort((found, -np.round(cosine[found], 12)))[:k]]
+                yield found, cosine[found]
 
     def nearest(self, term: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS):
         """The k examples of highest cosine above zero (ties: the earlier example) and the cosines."""
-        query = (1 + np.log(counts)) * self.idf[term]
-        query = query / np.sqrt((query**2).sum())
-        bounds = query @ self.highest[term]
-        blocks = self.highest.shape[1]
-        cosine, found = np.zeros(0), np.zeros(0, np.int64)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(found) == k and bounds[block] < cosine[-1] - 1e-12:
-                break
-            sums = np.zeros(BLOCK)
-            for t, q in zip(term, query):
-                a, b = self.where[t * blocks + block], self.where[t * blocks + block + 1]
-                sums[self.example[a:b] - block * BLOCK] += q * self.weight[a:b]
-            hits = np.flatnonzero(sums)
-            cosine = np.concatenate([cosine, sums[hits]])
-            found = np.concatenate([found, hits + block * BLOCK])
-            best = np.lexsort((found, -np.round(cosine, 12)))[:k]
-            cosine, found = cosine[best], found[best]
-        return found, cosine
-
-    def judge(self, term: np.ndarray, counts: np.ndarray):
-        """Score and evidence of a document with these terms."""
-        if not len(term):
-            return self.prior, []
-        found, cosine = self.nearest(term, counts)
-        vote = self.vote[found] * cosine
+        return next(self.nearest_of_all(np.zeros(len(term), np.int64), term, counts, 1, k))
+
+    def judge(self, found: np.ndarray, cosine: np.ndarray):
+        """Score and evidence of a document with these neighbours."""
+        vote = self.vote[found] * cosine**POWER
         score = (vote @ self.toxic[found] + PRIOR_WEIGHT * self.prior) / (vote.sum() + PRIOR_WEIGHT)
         evidence = [
             {"doc_id": int(self.doc[e]), "cosine": float(c), "toxic": bool(self.toxic[e])}
@@ -174,48 +195,38 @@ def learn_toxicity(
     toxic = made["label"].to_numpy(np.int64)
     if not 0 < toxic.sum() < len(toxic):
         return None
-    words = [np.frombuffer(w, "<u8") for w in made["words"]]
-    text = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    word, number = np.unique(np.concatenate(words), return_inverse=True)
-    counts = np.concatenate([np.frombuffer(c, "<i4") for c in made["counts"]])
-    chosen_terms, levels = telling_terms(number, counts, toxic[text], int(toxic.sum()), len(toxic))
-    terms = word[chosen_terms]
-    n_docs, frequency = document_frequencies(docs, terms, levels)
+    sizes_of = made["words"].str.len().to_numpy(np.int64) // 8
+    word = np.frombuffer(b"".join(made.pop("words")), "<u8")
+    counts = np.frombuffer(b"".join(made.pop("counts")), "<i4")
+    text = np.repeat(np.arange(len(sizes_of), dtype=np.int32), sizes_of)
+    order = np.argsort(word, kind="stable")
+    word, text, counts = word[order], text[order], counts[order]
+    del order
+    new = np.r_[True, word[1:] != word[:-1]][: len(word)]
+    terms, term = word[new], (np.cumsum(new) - 1).astype(np.int32)
+    del word
+    telling = how_telling(term, toxic[text], len(terms), toxic.mean())
+    n_docs, frequency = document_frequencies(docs, terms)
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-    level_of = np.full(len(word), np.iinfo(np.int64).max)
-    level_of[chosen_terms] = levels
-    own = counts >= level_of[number]
-    term = np.searchsorted(chosen_terms, number[own])
     share = sizes[1] / (sizes[0] + sizes[1])
     vote = np.where(toxic == 1, sizes[1] / toxic.sum(), sizes[0] / (len(toxic) - toxic.sum()))
     return ExampleIndex.build(
-        terms, levels, idf, text[own], term, counts[own], made["doc"].to_numpy(), toxic, vote / vote.max(), float(share)
+        terms, telling, idf, text, term, counts, made["doc"].to_numpy(), toxic, vote / vote.min(), float(share)
     )
 
 
-def telling_terms(number: np.ndarray, counts: np.ndarray, toxic: np.ndarray, n_toxic: int, n: int):
-    """Word numbers, ascending, that toxic examples hold more often than others, and the levels.
+def how_telling(term: np.ndarray, toxic: np.ndarray, terms: int, share: float) -> np.ndarray:
+    """Weight of each term: how far its examples' share of toxic ones lies from ``share``, beyond chance.
 
-    The postings are distinct (example, word) pairs with counts, ``toxic`` their examples' labels.
+    The postings are distinct (example, term) pairs, ``toxic`` their examples' labels.  A word that few
+    examples hold, or that tells nothing, weighs ``FLOOR``.
     """
-    words = int(number.max(initial=-1)) + 1
-    best, level_of = np.zeros(words), np.ones(words, np.int64)
-    for level in LEVELS:
-        reached = counts >= level
-        present = np.bincount(number[reached], minlength=words).astype(float)
-        both = np.bincount(number[reached], toxic[reached], minlength=words)
-        expected = present * n_toxic / n
-        spread = expected * (1 - n_toxic / n) * (1 - present / n)
-        chi = np.where(spread > 0, (both - expected) ** 2 / np.maximum(spread, 1e-12), 0.0)
-        chi[(both <= expected) | (present < LEAST_EXAMPLES)] = 0
-        level_of[chi > best] = level
-        best = np.maximum(best, chi)
-    good = np.flatnonzero((best >= LEAST_CHI) & (best >= LEAST_SHARE * n))
-    good = np.sort(good[np.lexsort((good, -best[good]))[:TERMS]])
-    return good, level_of[good]
-
-
-def document_frequencies(docs: DataFrame, terms: np.ndarray, levels: np.ndarray) -> tuple[int, np.ndarray]:
+    present = np.maximum(np.bincount(term, minlength=terms), 1)
+    apart = np.abs(np.bincount(term, toxic, minlength=terms) / present - share)
+    return FLOOR + np.maximum(0.0, apart - CHANCE * np.sqrt(share * (1 - share) / present))
+
+
+def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
     """Number of documents, and of documents with each term, over all rows; summed in the tasks."""
 
     def count(batches):
@@ -223,15 +234,17 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray, levels: np.ndarray)
         for batch in batches:
             total += batch.num_rows
             for _, _, data, offsets in text_rounds(batch.column(0)):
-                found += np.bincount(term_counts(data, offsets, terms, levels)[1], minlength=len(terms))
+                found += np.bincount(term_counts(data, offsets, terms)[1], minlength=len(terms))
         numbers = np.append(np.flatnonzero(found), -1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(numbers), pa.array(np.append(found[numbers[:-1]], total))], names=["term", "n"]
         )
 
     sums = need(docs, "text").mapInArrow(count, schema("term bigint, n bigint")).groupBy("term").agg(F.sum("n").alias("n"))
-    held = {r["term"]: r["n"] for r in sums.collect()}  # a row per term at most
-    return held.get(-1, 0), np.array([held.get(t, 0) for t in range(len(terms))], float)
+    held = sums.toArrow()  # a row per term at most
+    out = np.zeros(len(terms) + 1)  # the number of documents last
+    out[held.column("term").to_numpy()] = held.column("n").to_numpy()
+    return int(out[-1]), out[:-1]
 
 
 def score_toxicity(docs: DataFrame, index: ExampleIndex | None, key: str = "doc_id") -> DataFrame:
@@ -252,12 +265,10 @@ def score_toxicity(docs: DataFrame, index: ExampleIndex | None, key: str = "doc_
                     scores += [0.0] * (end - first)
                     why += [[]] * (end - first)
                     continue
-                text, term, counts = term_counts(data, offsets, index.terms, index.levels)
-                ends = np.searchsorted(text, np.arange(end - first + 1))
-                for a, b in zip(ends[:-1], ends[1:]):
-                    one, found = index.judge(term[a:b], counts[a:b])
+                for found, cosine in index.nearest_of_all(*term_counts(data, offsets, index.terms), end - first):
+                    one, evidence_of = index.judge(found, cosine)
                     scores.append(one)
-                    why.append(found)
+                    why.append(evidence_of)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(why, evidence)],
                 names=[key, "score", "evidence"],

@@ -99,6 +99,21 @@ def test_nearest_are_those_of_all_examples():
             assert found.tolist() == best.tolist() and cosine == pytest.approx(every[best])
 
 
+def test_a_copy_of_an_example_is_found_by_rare_words(make_docs, spark):
+    random = np.random.default_rng(3)
+    common = ["".join(random.choice(list("abcdefghij"), 7)) for _ in range(200)]
+    rows = []
+    for i in range(300):
+        own = ["".join(random.choice(list("klmnopqrst"), 9)) for _ in range(5)]  # in this text alone
+        rows.append((i, " ".join([*random.choice(common, 30), *own])))
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    docs = make_docs(rows + [(1000 + i, rows[i][1]) for i in (0, 10, 20, 21)])
+    index = X.learn_toxicity(docs, labels, modulus=1000, remainder=999)
+    for r in X.score_toxicity(docs.where("doc_id >= 1000"), index).collect():
+        assert r.evidence[0].doc_id == r.doc_id - 1000 and r.evidence[0].cosine == pytest.approx(1)
+        assert (r.score >= queries.PASSING) == (r.doc_id != 1021)
+
+
 def test_stages_keep_columns_and_take_effect(spark, given):
     docs = spark.read.parquet(f"{given}/documents.parquet").selectExpr("*", "'mine' AS score", "1 AS n_bytes")
     odd = [(None, "x y", "en", "s", 3, "mine", 1), (10**6, None, None, None, None, None, None)]
