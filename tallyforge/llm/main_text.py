@@ -3,8 +3,8 @@
 The events of the standard-library parser are cut into lines, one per block element.  A line's ratio
 is its characters over the tags met in it.  The ratios are smoothed by a Gaussian over neighbouring
 lines and split in two clusters by a threshold; the lines of the upper cluster say where the content
-lies.  The page's content region is the element that holds most of their text, and the text is
-every line of that region that is not page furniture (menus, headers, footers, sidebars, notices,
+lies.  The page's content region is the deepest element that holds ``REGION_SHARE`` of their text; an
+<article>, or else a <main>, that holds this share too goes before others.  The text is every line of that region that is not page furniture (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments), short lines included.
 """
 
@@ -35,6 +35,7 @@ FURNITURE_WORDS = set(
     "cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login share sharing social "
     "related widget toolbar pagination pager disqus reply replies respond".split()
 )
+INLINE = set("p b i em strong span a".split())
 CLOSED_BY_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
 WORD = re.compile(r"[a-z]+")
 #: Width of the smoothing in lines, and the share of the content text that a region must hold.
@@ -169,14 +170,12 @@ def main_text(html: str) -> str:
             any_text[element] = any_text.get(element, 0) + len(text)
             mass[element] = mass.get(element, 0) + len(text) * bool(content)
     region = None
-    for kind in ("article", "main"):
-        of_kind = [e for e in mass if parser.kinds[e] == kind]
-        if of_kind:
-            region = max(of_kind, key=lambda e: (mass[e], any_text[e], -e))
-            break
-    if region is None and total:
-        holding = [e for e in mass if mass[e] >= REGION_SHARE * total and parser.kinds[e] not in ("p", "b", "i", "em", "strong", "span", "a")]
+    if total:
+        holding = [e for e in mass if mass[e] >= REGION_SHARE * total and parser.kinds[e] not in INLINE]
         region = max(holding, key=lambda e: (depth[e], -e), default=None)
+        # A named element may be wider than the deepest, and takes in the short lines around it.
+        named = [e for e in holding if parser.kinds[e] in ("article", "main")]
+        region = max(named, key=lambda e: (parser.kinds[e] == "article", depth[e], -e), default=region)
     return "\n".join(
         text for text, _, furniture, inside in lines if not furniture and (region is None or region in inside)
     )

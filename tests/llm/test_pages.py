@@ -28,6 +28,18 @@ def test_main_text(inside, expected):
     assert main_text(page(inside)) == expected
 
 
+@pytest.mark.parametrize(
+    "inside, expected",
+    [
+        (f"<main><h1>T</h1><p>{LONG}</p><p>{LONG}</p></main><div><article><p>card</p></article></div>", f"T\n{LONG.strip()}\n{LONG.strip()}"),
+        (f"<div><article><p>card</p></article></div><div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG.strip()}\n{LONG.strip()}"),
+        (f"<div><article><p>{LONG}</p></article><article><p>{LONG}</p></article></div>", f"{LONG.strip()}\n{LONG.strip()}"),
+    ],
+)
+def test_the_region_holds_the_content_whatever_the_tags(inside, expected):
+    assert main_text(page(inside)) == expected
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "<article><p>x &lt; y"), (3, None, "<article><p>x &lt; y"), (None, "u", "<<<>>>&&")]
     rows.append((5, "u", "<article>" + "<p>wörd</p>" * 20_000))
