@@ -6,6 +6,8 @@ lines and split in two clusters by a threshold; the lines of the upper cluster s
 lies.  The page's content region is the deepest element that holds ``REGION_SHARE`` of their text; an
 <article>, or else a <main>, that holds this share too goes before others.  The text is every line of that region that is not page furniture (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments), short lines included.
+A class or id makes an element furniture only if the whole name says so and it does not hold most
+of the content text.
 """
 
 from __future__ import annotations
@@ -35,6 +37,11 @@ FURNITURE_WORDS = set(
     "cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login share sharing social "
     "related widget toolbar pagination pager disqus reply replies respond".split()
 )
+#: Words that may stand beside those in the name of a piece of furniture.
+FURNITURE_PLACES = set(
+    "site main left right top bottom wrapper wrap container box links bar area slot unit inner outer global "
+    "primary secondary".split()
+)
 INLINE = set("p b i em strong span a".split())
 CLOSED_BY_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
 WORD = re.compile(r"[a-z]+")
@@ -42,13 +49,25 @@ WORD = re.compile(r"[a-z]+")
 SIGMA, REGION_SHARE = 1.0, 0.7
 
 
+def _names_furniture(token: str) -> bool:
+    """Whether a whole class or id says furniture: its words all do, or say where it stands.
+
+    So ``no-sidebar``, ``has-menu``, ``comments-open`` and ``entry-header`` are none.
+    """
+    words = set(WORD.findall(token))
+    return not FURNITURE_WORDS.isdisjoint(words) and words <= FURNITURE_WORDS | FURNITURE_PLACES
+
+
 class _Lines(HTMLParser):
     """Cuts a page into lines: text, tags, whether furniture, and the open elements."""
 
-    def __init__(self):
+    def __init__(self, spared: frozenset[int] | None = None):
+        """``spared`` are the elements whose names are not looked at, None for all."""
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
         self.kinds: list[str] = []  # of every element by number
+        self.named: list[int] = []  # elements that only their names make furniture
+        self._spared = spared
         self._open: list[tuple[str, bool, int]] = []
         self._text: list[str] = []
         self._tags = 0
@@ -63,14 +82,15 @@ class _Lines(HTMLParser):
                 continue
             if name == "role" and value.strip().lower() in FURNITURE_ROLES:
                 return True
-            if name in ("class", "id") and tag not in ("html", "body") and FURNITURE_WORDS.intersection(
-                WORD.findall(value.lower())
-            ):
-                return True
             if name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
                 return True
         return False
 
+    def _is_named_furniture(self, tag: str, attrs) -> bool:
+        return tag not in ("html", "body") and any(
+            name in ("class", "id") and value and any(map(_names_furniture, value.lower().split())) for name, value in attrs
+        )
+
     def _furniture(self) -> bool:
         return bool(self._open) and self._open[-1][1]
 
@@ -104,7 +124,11 @@ class _Lines(HTMLParser):
             return
         role = dict(attrs).get("role")
         self.kinds.append("main" if role == "main" else tag)
-        self._open.append((tag, self._furniture() or self._is_furniture(tag, attrs), len(self.kinds) - 1))
+        element, furniture = len(self.kinds) - 1, self._is_furniture(tag, attrs)
+        if not furniture and self._is_named_furniture(tag, attrs):
+            self.named.append(element)
+            furniture = self._spared is not None and element not in self._spared
+        self._open.append((tag, self._furniture() or furniture, element))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -145,18 +169,48 @@ def threshold(values: np.ndarray) -> float:
     return middle
 
 
-def main_text(html: str) -> str:
-    """The main text of one page, blocks joined by a line feed; empty if there is none."""
-    parser = _Lines()
+def _read(html: str, spared: frozenset[int] | None) -> _Lines:
+    parser = _Lines(spared)
     parser.feed(html)
     parser.close()
     parser.flush()
+    return parser
+
+
+def _content_lines(lines) -> np.ndarray:
+    """Whether each line is of the upper cluster of smoothed ratios."""
+    ratios = np.array([0.0 if furniture else len(text) / max(1, tags) for text, tags, furniture, _ in lines])
+    smooth = smoothed(ratios)
+    return smooth >= threshold(smooth)
+
+
+def _spared(parser: _Lines) -> frozenset[int]:
+    """Elements named like furniture that are the page's content all the same.
+
+    Such an element holds more than half of the content text, in several lines, or all text of the page.
+    """
+    mass, count, every = (dict.fromkeys(parser.named, 0) for _ in range(3))
+    total = lines = 0
+    for (text, _, furniture, inside), content in zip(parser.lines, _content_lines(parser.lines) if parser.lines else ()):
+        if furniture:
+            continue
+        lines, total = lines + 1, total + len(text) * bool(content)
+        for element in every.keys() & inside:
+            every[element] += 1
+            mass[element] += len(text) * bool(content)
+            count[element] += bool(content)
+    return frozenset(e for e in mass if lines and (every[e] == lines or 2 * mass[e] > total and count[e] > 1))
+
+
+def main_text(html: str) -> str:
+    """The main text of one page, blocks joined by a line feed; empty if there is none."""
+    parser = _read(html, None)
+    if parser.named:
+        parser = _read(html, _spared(parser))
     lines = parser.lines
     if not any(not furniture for _, _, furniture, _ in lines):
         return ""
-    ratios = np.array([0.0 if furniture else len(text) / max(1, tags) for text, tags, furniture, _ in lines])
-    smooth = smoothed(ratios)
-    chosen = smooth >= threshold(smooth)
+    chosen = _content_lines(lines)
     mass: dict[int, int] = {}  # content text by element
     any_text: dict[int, int] = {}
     depth: dict[int, int] = {}

@@ -40,6 +40,12 @@ def test_the_region_holds_the_content_whatever_the_tags(inside, expected):
     assert main_text(page(inside)) == expected
 
 
+@pytest.mark.parametrize("name", ["content no-sidebar", "site-main has-sidebar", "post comments-open", "page-with-menu", "menu"])
+def test_a_name_does_not_remove_the_content(name):
+    text = f"<div class='entry-header'><h1>Title</h1></div><p>{LONG}</p><div class='site-footer'>foot</div><p>{LONG}</p>"
+    assert main_text(page(f"<div class='{name}'>{text}</div>")) == f"Title\n{LONG.strip()}\n{LONG.strip()}"
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "<article><p>x &lt; y"), (3, None, "<article><p>x &lt; y"), (None, "u", "<<<>>>&&")]
     rows.append((5, "u", "<article>" + "<p>wörd</p>" * 20_000))
