@@ -149,7 +149,7 @@ def pack_documents(
     """
 
     def pack(batches):
-        encoder, packer = Encoder(vocabulary), Packer(tiers, buffer_tokens)
+        encoder, packer = Encoder(vocabulary, special=True), Packer(tiers, buffer_tokens)
         first = TaskContext.get().partitionId() * TASK_STRIDE
         sequence = groups = first
 

@@ -55,7 +55,7 @@ def records(docs: DataFrame, key: str = "doc_id", tokens: int = TOKENS, vocabula
     """Fixed-length records of ids in task order; the last one of a task is padded with id 0."""
 
     def fill(batches):
-        encoder, task = Encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, task = Encoder(vocabulary, special=True), TaskContext.get().partitionId()
         stride, number, begun = 4 * tokens, 0, 0
         held = bytearray()
         within: list[int] = []  # documents with ids in what is held, and where each ends

@@ -80,3 +80,17 @@ def test_shards_hold_the_ids_in_order(make_docs, given_docs, tmp_path):
             assert data == b"".join(bytes(r.ids) for r in own)
             assert (shard.records, shard.bytes, shard.crc32) == (len(own), len(data), zlib.crc32(data))
     assert len(list(tmp_path.iterdir())) == len(written)
+
+
+def test_queries_give_special_tokens_their_ids(make_docs):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {1: "a<|endoftext|>b", 2: "<|endoftext|>", 3: " <|endoftext|>\n<|endoftext|> <|endoftext|", 4: "plain"}
+    expected = {d: [*model.encode(t, add_special_tokens=False).ids, 0] for d, t in texts.items()}
+    assert expected[1] == [64, 50256, 65, 0]
+    docs = make_docs(list(texts.items()), 1)
+    pieces = sorted(pack_documents(docs).collect(), key=lambda r: r.start)
+    for doc, own in expected.items():
+        assert [i for r in pieces if r.doc_id == doc for i in np.frombuffer(bytes(r.ids), "<u4")] == own
+    (record,) = in_training_order(docs).collect()
+    want = [i for d in record.docs for i in expected[d]]
+    assert np.frombuffer(bytes(record.ids), "<u2")[: record.n_tokens].tolist() == want
