@@ -1,7 +1,7 @@
 """Embedding near-dedup by a forest of random-projection trees with spill overlap.
 
 Equal vectors of a label are one class first.  Each tree splits space by random directions at the
-median of a bounded sample, until a leaf holds about ``LEAF`` classes; every class is then sent down
+median of a bounded sample, or beside it, until a leaf holds about ``LEAF`` classes; every class is then sent down
 every tree, to both sides where it lies within the spill margin of a split.  A pair at the threshold
 is parted by a split only if its difference along the direction exceeds twice the margin, which is set
 from the threshold and the dimension, so a tree keeps nine pairs of ten at the threshold and all
@@ -10,7 +10,7 @@ closer ones, and six trees lose one in a million.
 In a leaf, classes of one label are compared in double precision.  A pair is counted only in the first
 leaf that both reached, so every link counts once although several trees find it; a leaf hands on a
 count for each class and an edge to the root of its component, never the pairs.  A leaf that could not
-be split (a dense group) is compared in pairs of blocks.
+be split without much overlap (a dense group) is compared in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -32,8 +32,11 @@ TREES, LEAF, BLOCK = 6, 4096, 2048
 SAMPLE, LEAST_SAMPLE = 20_000, 32
 #: Half the width of the overlap, in standard deviations of a threshold pair's projected difference.
 SPILL = 0.64
-#: A split is tried again with another direction if a side keeps more than this share.
-LARGEST_SIDE, TRIES = 0.85, 4
+#: A split is tried again with another direction if both sides together hold more than this many times
+#: the node; the most that the splits above a leaf may make of it together, which bounds a tree's copies.
+OVERLAP, TRIES, OVERLAP_IN_ALL = 1.25, 4, 16.0
+#: Where a direction is split, the first place that does; the others pass by a dense group at the median.
+QUANTILES, LARGEST_SIDE = (0.5, 0.35, 0.65, 0.2, 0.8), 0.9
 
 
 @dataclass
@@ -74,27 +77,33 @@ def fit_forest(sample: np.ndarray, total: int, threshold: float, trees: int = TR
     for _ in range(trees):
         directions, thresholds, children = [], [], []
 
-        def grow(own) -> int:
+        def grow(own, copies: float) -> int:
             nonlocal numbered
             if len(own) * weight > leaf and len(own) >= LEAST_SAMPLE:
                 for _ in range(TRIES):
                     direction = random.standard_normal(dimension)
                     direction /= np.linalg.norm(direction)
                     along = sample[own] @ direction
-                    middle = float(np.median(along))
-                    left, right = own[along <= middle + margin], own[along >= middle - margin]
-                    if max(len(left), len(right)) <= LARGEST_SIDE * len(own):
+                    for middle in np.quantile(along, QUANTILES):
+                        left, right = own[along <= middle + margin], own[along >= middle - margin]
+                        factor = (len(left) + len(right)) / len(own)
+                        if (
+                            factor > OVERLAP
+                            or copies * factor > OVERLAP_IN_ALL
+                            or max(len(left), len(right)) > LARGEST_SIDE * len(own)
+                        ):
+                            continue
                         node = len(directions)
                         directions.append(direction)
-                        thresholds.append(middle)
+                        thresholds.append(float(middle))
                         children.append([0, 0])
-                        children[node][0] = grow(left)
-                        children[node][1] = grow(right)
+                        children[node][0] = grow(left, copies * factor)
+                        children[node][1] = grow(right, copies * factor)
                         return node
             numbered += 1
             return -numbered
 
-        root = grow(np.arange(len(sample)))
+        root = grow(np.arange(len(sample)), 1.0)
         forest.append(
             Tree(np.array(directions).reshape(-1, dimension), np.array(thresholds), np.array(children).reshape(-1, 2), margin, root)
         )

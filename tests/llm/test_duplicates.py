@@ -244,3 +244,15 @@ def test_words_are_split_as_said():
     flat = [w for s in samples for w in words(s)]
     assert np.diff(firsts).tolist() == [len(words(s)) for s in samples]
     assert len(set(hashes.tolist())) == len(set(flat)) and [hashes.tolist().index(h) for h in hashes.tolist()] == [flat.index(w) for w in flat]
+
+
+def test_a_dense_group_is_not_multiplied_by_the_forest():
+    random_numbers = np.random.default_rng(6)
+    around = random_numbers.standard_normal((20_000, 64))
+    around /= np.linalg.norm(around, axis=1, keepdims=True)
+    dense = np.sqrt(0.92) * np.eye(64)[0] + np.sqrt(0.08) * around
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    for unit, total, least in ((dense, 20_000, 1), (around, 1_000_000, 100), (np.vstack([dense, around]), 40_000, 4)):
+        for tree in fit_forest(unit, total, 0.93, trees=2):
+            rows, leaves = tree.leaves(unit)
+            assert len(rows) <= 16 * len(unit) and len(set(leaves.tolist())) >= least
