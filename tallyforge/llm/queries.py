@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, embedding_links, main_text, near_duplicates, packing, quality, repeats, token_shards, toxicity, url_rules
+from tallyforge.llm import decontamination, embedding_links, filter_audit, main_text, near_duplicates, packing, quality, repeats, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -86,6 +86,10 @@ def op10_token_shards(spark, folder):
     )
 
 
+def op11_filter_audit(spark, folder):
+    return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +103,7 @@ QUERIES = {
         op8_toxicity,
         op9_minhash_near_dedup,
         op10_token_shards,
+        op11_filter_audit,
     )
 }
 
@@ -119,4 +124,42 @@ SQL = {
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
         FROM judged""",
+    "op11_filter_audit": r"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS txt,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        firsts AS (SELECT txt, min(doc_id) AS least FROM docs GROUP BY txt),
+        flags AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        failed AS (
+            SELECT d.part, coalesce(g.good, 0) AS good, coalesce(g.toxic, 0) AS toxic,
+                   CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END AS a,
+                   CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 1 ELSE 0 END AS b,
+                   CASE WHEN 100 * length(regexp_replace(d.txt, '[^A-Z]', '', 'g')) > 2 * length(d.txt) THEN 1 ELSE 0 END AS c,
+                   CASE WHEN regexp_matches(d.txt, '[#$%&*|]') THEN 1 ELSE 0 END AS d,
+                   CASE WHEN f.least < d.doc_id THEN 1 ELSE 0 END AS e
+            FROM docs d JOIN firsts f ON d.txt = f.txt LEFT JOIN flags g ON d.doc_id = g.doc_id),
+        cells AS (
+            SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS fails, a + b + c + d + e AS k,
+                   count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+            FROM failed GROUP BY ALL),
+        letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+            SELECT [p.f, q.f, r.f, s.f, t.f] AS fs, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+            FROM letters p, letters q, letters r, letters s, letters t
+            WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31 AND (p.bit | q.bit | r.bit | s.bit | t.bit) = 31),
+        steps AS (
+            SELECT array_to_string(fs, '') AS filter_order, i AS step, bits[i] AS own,
+                   coalesce(list_sum(bits[1:i - 1]), 0) AS before
+            FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS i))
+        SELECT part, filter_order, step::INT AS step,
+               sum(CASE WHEN fails & (before + own)::INT = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+               sum(CASE WHEN fails & before::INT = 0 AND fails & own <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+               sum(CASE WHEN fails & before::INT <> 0 AND fails & own <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+               sum(CASE WHEN fails = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+               sum(CASE WHEN fails & before::INT = 0 AND fails & own <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+               sum(CASE WHEN fails & before::INT = 0 AND fails & own <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+               sum(CASE WHEN fails & own <> 0 THEN n * 120 // k ELSE 0 END)::BIGINT AS shapley
+        FROM cells, steps GROUP BY part, filter_order, step""",
 }
