@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, embedding_links, filter_audit, main_text, near_duplicates, packing, quality, repeats, token_shards, toxicity, url_rules
+from tallyforge.llm import decontamination, embedding_links, filter_audit, main_text, near_duplicates, packing, quality, repeats, secret_scan, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -90,6 +90,16 @@ def op11_filter_audit(spark, folder):
     return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_secret_scan(spark, folder):
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(secret_scan.of_kinds((k,))).cast("long").alias(f"n_{k}") for k in secret_scan.BASE),
+        F.sha2(secret_scan.listed(secret_scan.of_kinds(secret_scan.BASE)), 256).alias("base_sha256"),
+        secret_scan.listed("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,9 +114,38 @@ QUERIES = {
         op9_minhash_near_dedup,
         op10_token_shards,
         op11_filter_audit,
+        op12_secret_scan,
     )
 }
 
+def _spans_sql(order: int, kind: str, pattern: str, kept: str = "true") -> str:
+    """Spans of one kind: a match begins behind all matches before it and all text between them."""
+    return f"""
+        SELECT doc_id, {order} AS kind_no, '{kind}' AS kind, pos AS start, pos + length(m) AS stop
+        FROM (SELECT doc_id, ms[i] AS m, (list_sum(list_transform(ps[1:i], lambda x: length(x)))
+                     + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS pos
+              FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i
+                    FROM (SELECT doc_id, regexp_extract_all(t, $${pattern}$$) AS ms, regexp_split_to_array(t, $${pattern}$$) AS ps
+                          FROM docs)))
+        WHERE {kept}"""
+
+
+def _folded(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_KEYWORDS = "|".join([*map(_folded, ("password", "passwd", "secret", "token")), f"{_folded('api')}_?{_folded('key')}"])
+_ASSIGN = rf"""(?:{_KEYWORDS})["']?\x20*[:=]\x20*["']?"""
+_SECRETS = " UNION ALL ".join([
+    _spans_sql(0, "assign", _ASSIGN + "[A-Za-z0-9+/_.=-]+", f"regexp_full_match(m, $${_ASSIGN}[A-Za-z0-9+/_.=-]{{6,}}$$)"),
+    _spans_sql(1, "access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
+    _spans_sql(2, "hex", "[0-9a-f]{24,}"),
+    _spans_sql(3, "github", "gh[pousr]_[A-Za-z0-9]+", "length(m) >= 40"),
+    _spans_sql(4, "slack", "xox[abprs]-[A-Za-z0-9-]+", "length(m) >= 15"),
+    _spans_sql(5, "jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    _spans_sql(6, "private_key", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+])
+
 _HOST = r"""translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 _PATH = r"coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
@@ -162,4 +201,16 @@ SQL = {
                sum(CASE WHEN fails & before::INT = 0 AND fails & own <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
                sum(CASE WHEN fails & own <> 0 THEN n * 120 // k ELSE 0 END)::BIGINT AS shapley
         FROM cells, steps GROUP BY part, filter_order, step""",
+    "op12_secret_scan": f"""
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        spans AS ({_SECRETS}),
+        told AS (
+            SELECT doc_id, count(*) FILTER (kind_no = 0) AS n_assign, count(*) FILTER (kind_no = 1) AS n_access,
+                   count(*) FILTER (kind_no = 2) AS n_hex,
+                   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no) FILTER (kind_no < 3) AS base,
+                   string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no) AS spans
+            FROM spans GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN told USING (doc_id)""",
 }
