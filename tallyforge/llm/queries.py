@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyforge.llm import decontamination, embedding_links, filter_audit, main_text, near_duplicates, packing, quality, repeats, secret_scan, token_shards, toxicity, url_rules
+from tallyforge.llm import decontamination, embedding_links, filter_audit, main_text, near_duplicates, packing, phrases, quality, repeats, secret_scan, token_shards, toxicity, url_rules
 from tallyforge.llm.common import table
 
 URL_RULES = [
@@ -100,6 +100,10 @@ def op12_secret_scan(spark, folder):
     )
 
 
+def op13_phrase_mining(spark, folder):
+    return phrases.mine_phrases(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,6 +119,7 @@ QUERIES = {
         op10_token_shards,
         op11_filter_audit,
         op12_secret_scan,
+        op13_phrase_mining,
     )
 }
 
@@ -213,4 +218,36 @@ SQL = {
         SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
                sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM docs LEFT JOIN told USING (doc_id)""",
+    "op13_phrase_mining": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded), (SELECT unnest([1, 2, 3, 4, 5]) AS k)
+            WHERE i + k - 1 <= len(w)),
+        counts AS (SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+        cuts AS (
+            SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:k], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS c FROM candidates)),
+        scored AS (
+            SELECT u.lang, u.phrase, u.a, c, x.f AS l, y.f AS r, n,
+                   ((1000::HUGEINT * u.a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM cuts u JOIN counts x ON u.lang = x.lang AND u.head = x.phrase
+                        JOIN counts y ON u.lang = y.lang AND u.tail = y.phrase JOIN totals t ON u.lang = t.lang),
+        lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS o FROM scored) WHERE o = 1),
+        inner_ AS (
+            SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates), (SELECT unnest([2, 3, 4]) AS m)
+            WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+        kept AS (
+            SELECT s.* FROM lowest s LEFT JOIN inner_ i ON s.lang = i.lang AND s.phrase = i.phrase
+            WHERE longer IS NULL OR longer < a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
