@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge import fixed_values as V
 from tallyforge import schemas
 from tallyforge.functions import labels as L
 from tallyforge.operators.latest import first_by, newest_first
+from tallyforge.operators.materialize import materialize
 from tallyforge.sources.tables import JdbcSource, ParquetSource, load_table
 
 
@@ -52,6 +54,18 @@ class Directory:
         setattr(self, attribute, table)
         return table
 
+    #: Every affiliation with its person, place and systems, once ``prepared``.
+    frame: DataFrame | None = None
+
+    def prepared(self, systems: tuple[int, ...] = (V.EVENT_SYSTEM, V.EXTRACT_SYSTEM)) -> "Directory":
+        """This directory with its affiliations joined once, written to the shared folder.
+
+        Memberships, counts and labels then read that frame instead of joining the tables again.
+        """
+        other = Directory(lambda table: getattr(self, table))
+        other.frame = materialize(affiliation_frame(self, systems), "directory")
+        return other
+
     def system_users(self, system_id: int) -> DataFrame:
         return self.user_systems.filter(F.col("system_id") == system_id).select("user_id")
 
@@ -89,12 +103,44 @@ def memberships(directory: Directory, system_id: int | None = None) -> DataFrame
     departments follow, so a department or institution with very many members needs no shuffle
     when those small tables are broadcast, and is split at run time when they are not.
     """
+    if directory.frame is not None:
+        rows = directory.frame.filter("known AND placed")
+        if system_id is None:
+            return rows
+        # A user entered twice in a system counts twice, as in the join.
+        return rows.select("*", F.explode(F.array_repeat(F.lit(True), F.col(_rows_in(system_id)).cast("int")))).drop("col")
     rows = directory.affiliations.join(people(directory), "user_id")
     if system_id is not None:
         rows = rows.join(directory.system_users(system_id), "user_id")
     return rows.join(places(directory), "department_id")
 
 
+def _rows_in(system_id: int) -> str:
+    return f"rows_in_system_{system_id}"
+
+
+def affiliation_frame(directory: Directory, systems: tuple[int, ...]) -> DataFrame:
+    """Every affiliation row, with its person and place where they are known.
+
+    ``known`` and ``placed`` say whether they are; ``rows_in_system_1`` and so on hold the user's
+    number of entries in each system, null for none.  Each directory table is read once.
+    """
+    counts = directory.user_systems.filter(F.col("system_id").isin(*systems)).groupBy("user_id").agg(
+        *[F.nullif(F.count_if(F.col("system_id") == s), F.lit(0)).alias(_rows_in(s)) for s in systems]
+    )
+    return (
+        directory.affiliations.join(people(directory).withColumn("known", F.lit(True)), "user_id", "left")
+        .join(counts, "user_id", "left")
+        .join(places(directory).withColumn("placed", F.lit(True)), "department_id", "left")
+    )
+
+
+def affiliations_of(directory: Directory, system_id: int) -> DataFrame:
+    """The outer rows of ``affiliation_frame``, with ``system_rows`` for one system."""
+    frame = directory.frame if directory.frame is not None else affiliation_frame(directory, (system_id,))
+    return frame.withColumn("system_rows", F.col(_rows_in(system_id)))
+
+
 def is_open():
     """Affiliation without an end date."""
     return F.col("end_date").isNull()

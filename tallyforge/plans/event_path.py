@@ -6,17 +6,20 @@ Functions take the finished usage of a period, raw (``finished_usage``) or rolle
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge import fixed_values as V
 from tallyforge.functions import labels as L
 from tallyforge.functions import shares as S
-from tallyforge.operators.attribution import attribute_usage
+from tallyforge.operators.attribution import attribute_usage, valid_at_day
 from tallyforge.operators.directory import Directory, memberships
 from tallyforge.operators.residual import residual_percent
 
 PERSON_KEYS = ["first_name", "last_name", "user", "institution"]
+ATTRIBUTED_KEYS = PERSON_KEYS + ["country", "gender", "is_student", "is_astronomy"]
+PLACE_COLUMNS = ["username", "department_id", "department", "institution"]
+PERSON_COLUMNS = PLACE_COLUMNS + ["country", "is_astronomy", "gender", "is_student", "first_name", "last_name"]
 
 
 def total_usage(usage: DataFrame) -> DataFrame:
@@ -63,7 +66,11 @@ def percent_by_institution(usage: DataFrame, directory: Directory) -> DataFrame:
     dated = memberships(directory, V.EVENT_SYSTEM).select(
         "username", "department_id", "department", "institution", "start_date", "end_date"
     )
-    sums = attribute_usage(usage, dated, ["institution"])
+    return institution_shares(attribute_usage(usage, dated, ["institution"]), usage)
+
+
+def institution_shares(sums: DataFrame, usage: DataFrame) -> DataFrame:
+    """Units per institution as shares of the whole usage, largest first."""
     pct = S.percent(F.col("units"), S.scalar_total(usage, "units"), 2)
     return (
         sums.select("institution", pct.alias("percentage"))
@@ -73,7 +80,10 @@ def percent_by_institution(usage: DataFrame, directory: Directory) -> DataFrame:
 
 
 def _person_shares(usage: DataFrame, affiliations: DataFrame, keys: list[str]) -> DataFrame:
-    sums = attribute_usage(usage, affiliations, keys)
+    return _shares_of(attribute_usage(usage, affiliations, keys), usage, keys)
+
+
+def _shares_of(sums: DataFrame, usage: DataFrame, keys: list[str]) -> DataFrame:
     pct = S.percent(F.col("units"), S.scalar_total(usage, "units"), 2)
     return sums.select(*keys, pct.alias("percentage"))
 
@@ -109,12 +119,12 @@ def percent_by_national_user_text(shares: DataFrame) -> DataFrame:
 
 def percent_by_person(usage: DataFrame, directory: Directory) -> DataFrame:
     """Share per user and attributes at event time, rounded to two places, codes as labels."""
-    keys = PERSON_KEYS + ["country", "gender", "is_student", "is_astronomy"]
-    dated = memberships(directory).select(
-        "username", "department_id", "department", "institution", "country", "is_astronomy",
-        "gender", "is_student", "first_name", "last_name", "start_date", "end_date",
-    )
-    return _person_shares(usage, dated, keys).select(
+    dated = memberships(directory).select(*PERSON_COLUMNS, "start_date", "end_date")
+    return person_labels(_person_shares(usage, dated, ATTRIBUTED_KEYS))
+
+
+def person_labels(shares: DataFrame) -> DataFrame:
+    return shares.select(
         F.col("user").alias("username"),
         L.full_name(F.col("first_name"), F.col("last_name")).alias("name"),
         "institution",
@@ -127,6 +137,40 @@ def percent_by_person(usage: DataFrame, directory: Directory) -> DataFrame:
     )
 
 
+def attributed_usage(usage: DataFrame, directory: Directory) -> DataFrame:
+    """Usage per person and attributes at event time, from one join with a prepared directory.
+
+    ``units`` are those of the person under any system.  ``system_units`` are those by which the
+    institution is credited: of users of the event system, an affiliation that several user rows
+    share counting once.  Both sections of a report then add up these few rows.
+    """
+    in_system = F.col("rows_in_system_%d" % V.EVENT_SYSTEM).isNotNull()
+    rows = directory.frame.filter("known AND placed").groupBy(*PERSON_COLUMNS, "start_date", "end_date")
+    dated = rows.agg(F.max(in_system).alias("in_system"))
+    same_place = Window.partitionBy(*PLACE_COLUMNS, "start_date", "end_date").orderBy(
+        F.desc("in_system"), "first_name", "last_name", "gender", "is_student", "country", "is_astronomy"
+    )
+    dated = dated.withColumn("credited", F.col("in_system") & (F.row_number().over(same_place) == 1))
+    valid = valid_at_day(F.col("day"), F.col("at_midnight"), F.col("start_date"), F.col("end_date"))
+    joined = usage.join(dated.withColumnRenamed("username", "_user"), (F.col("user") == F.col("_user")) & valid)
+    return joined.groupBy(*ATTRIBUTED_KEYS).agg(
+        F.sum("units").alias("units"),
+        F.sum(F.when(F.col("credited"), F.col("units"))).alias("system_units"),
+        F.count_if("credited").alias("credits"),
+    )
+
+
+def attributed_by_institution(attributed: DataFrame, usage: DataFrame) -> DataFrame:
+    """``percent_by_institution`` from attributed usage."""
+    sums = attributed.filter("credits > 0").groupBy("institution").agg(F.sum("system_units").alias("units"))
+    return institution_shares(sums, usage)
+
+
+def attributed_by_person(attributed: DataFrame, usage: DataFrame) -> DataFrame:
+    """``percent_by_person`` from attributed usage."""
+    return person_labels(_shares_of(attributed, usage, ATTRIBUTED_KEYS))
+
+
 CRITERIA = ("gender", "student", "is_astronomy", "is_australia")
 
 

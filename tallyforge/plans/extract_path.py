@@ -11,12 +11,12 @@ from tallyforge import fixed_values as V
 from tallyforge.functions import shares as S
 from tallyforge.operators.directory import (
     Directory,
+    affiliations_of,
     is_open,
     labelled_users,
     latest_affiliation,
     memberships,
     people,
-    places,
 )
 from tallyforge.operators.filters import all_of, discard_accounts
 from tallyforge.plans.event_path import by_criterion
@@ -155,14 +155,7 @@ def account_holders(
     aggregation by user rather than one distinct set per line.
     """
     active = active_logins(charged).withColumn("active", F.lit(True))
-    in_system = directory.user_systems.filter(F.col("system_id") == V.EXTRACT_SYSTEM)
-    systems = in_system.groupBy("user_id").agg(F.count("*").alias("system_rows"))
-    rows = (
-        directory.affiliations.join(people(directory), "user_id", "left")
-        .join(systems, "user_id", "left")
-        .join(places(directory).select("department_id", "is_astronomy"), "department_id", "left")
-        .join(active, "username", "left")
-    )
+    rows = affiliations_of(directory, V.EXTRACT_SYSTEM).join(active, "username", "left")
     astronomy = is_open() & F.col("username").isNotNull() & all_of([("is_astronomy", V.ASTRONOMY)])
     conditions = (
         (V.LABEL_ALL, astronomy),

@@ -6,7 +6,9 @@ the data, so a report of any length is sorted in parallel and no section is numb
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -121,25 +123,53 @@ def dataset_sections(
     return [usage, families]
 
 
+@dataclass(frozen=True)
+class DatasetService:
+    """What a report needs to know of the dataset service."""
+
+    jobs: DataFrame
+    site_users: DataFrame
+    admins: Iterable[str] | DataFrame
+    period: Period
+    name: str = "dataset service"
+
+    def sections(self, first_number: int) -> list[DataFrame]:
+        counted = datasets.counted_jobs(self.jobs, self.period, self.admins)
+        return dataset_sections(first_number, counted, self.site_users, self.admins, self.period, self.name)
+
+
 def event_report(
-    events: DataFrame, directory: Directory, period: Period, home: str = "Home department"
+    events: DataFrame,
+    directory: Directory,
+    period: Period,
+    home: str = "Home department",
+    other_than: str | None = None,
+    service: DatasetService | None = None,
 ) -> DataFrame:
-    """The report of the event system; all sections share one rollup of the events."""
+    """The report of the event system, with the sections of the dataset service if one is given.
+
+    The events are read once, for one rollup; the directory tables are joined once, for one frame of
+    affiliations; and usage is attributed to affiliations once, for the sections by institution and
+    by demographic group.  All three are written to the shared folder.  ``other_than`` leaves one
+    institution out of the section of other institutions.
+    """
+    directory = directory.prepared()
     rollup = materialize(activity_rollup(events, period), "rollup")
     usage = usage_of(rollup)
+    attributed = materialize(event_path.attributed_usage(usage, directory), "attributed")
     active = rollup.select(F.col("user").alias("username")).distinct()
-    persons = event_path.percent_by_person(usage, directory)
+    persons = event_path.attributed_by_person(attributed, usage)
     groups = joined_groups(event_path.percent_by_demographic(persons))
     return report_rows(
         [
             _percentages(
-                1, V.TITLE_INSTITUTION_USAGE, event_path.percent_by_institution(usage, directory),
+                1, V.TITLE_INSTITUTION_USAGE, event_path.attributed_by_institution(attributed, usage),
                 "institution", F.col("percentage"),
             ),
             _account_holders(2, user_counts.account_holders_of(directory, active, home=home)),
             section(
                 3, V.TITLE_ASTRONOMERS.format(home=home),
-                user_counts.astronomers_by_department(directory),
+                user_counts.astronomers_by_department(directory, other_than),
                 F.col("users"), F.col("institution"), F.col("users").cast("string"),
             ),
             _percentages(
@@ -150,6 +180,7 @@ def event_report(
                 5, V.TITLE_DEMOGRAPHIC, groups,
                 -F.col("criterion_no"), F.col("groups"), F.col("percentages"),
             ),
+            *(service.sections(6) if service else []),
         ]
     )
 
@@ -159,8 +190,11 @@ def extract_report(
     directory: Directory,
     home: str = "Home department",
     discarded: Iterable[str] = V.DISCARDED_ACCOUNTS,
+    other_than: str | None = None,
+    service: DatasetService | None = None,
 ) -> DataFrame:
-    """The report of the extract system."""
+    """The report of the extract system, sharing its directory as ``event_report`` does."""
+    directory = directory.prepared()
     charged = materialize(extract_path.charged_usage(extract, discarded), "charged")
     demographic = extract_path.percent_by_demographic(charged, directory)
     group_text = F.format_string("%s:  %s%%", "grp", F.col("percentage").cast("string"))
@@ -173,7 +207,7 @@ def extract_report(
             _account_holders(2, extract_path.account_holders(charged, directory, home=home)),
             section(
                 3, V.TITLE_ASTRONOMERS.format(home=home),
-                extract_path.astronomers_by_institution(directory),
+                extract_path.astronomers_by_institution(directory, other_than),
                 F.col("users"), F.col("institution"), F.col("users").cast("string"),
             ),
             _percentages(
@@ -184,29 +218,39 @@ def extract_report(
                 5, V.TITLE_DEMOGRAPHIC, demographic,
                 -F.col("criterion_no"), F.col("criterion"), group_text,
             ),
+            *(service.sections(6) if service else []),
         ]
     )
 
 
-# Label width of each text section; the account table and the groups have their own.
-TEXT_WIDTHS = {1: 100, 3: 70, 4: 50}
-COUNT_WIDTHS = {3: 5}
+# Title of a section up to its first blank to fill in, label width, value width.  The
+# account table and the demographic groups have formats of their own.
+TEXT_LAYOUTS = (
+    (V.TITLE_INSTITUTION_USAGE, 100, ""),
+    (V.TITLE_ASTRONOMERS, 70, 5),
+    (V.TITLE_PROJECT_USAGE, 50, ""),
+    (V.TITLE_DATASET_USAGE, 50, ""),
+    (V.TITLE_DATASET_FAMILIES, 50, ""),
+)
 # Joined groups are parted by a bare colon; one before a blank belongs to the text.
 _JOINED = ":(?! )"
 
 
+def _titled(template: str) -> Column:
+    """Sections under a title, whatever fills its blanks; the numbers of sections don't matter."""
+    parts = re.split(r"\{\w+\}", template)
+    return F.col("section").rlike("^" + ".*".join(map(re.escape, parts)) + "$")
+
+
 def report_text(report: DataFrame) -> DataFrame:
-    """Fixed-width lines, with the columns that order them."""
+    """Fixed-width lines, with the columns that order them, for the sections of every report."""
     label, value = F.coalesce("label", F.lit("")), F.coalesce("value", F.lit(""))
     line = F.when(
-        F.col("section") == V.TITLE_ACCOUNT_HOLDERS,
+        _titled(V.TITLE_ACCOUNT_HOLDERS),
         F.format_string("%-15s%s/%s ", F.concat(label, F.lit(":")), value, "active_value"),
     )
-    for number, width in TEXT_WIDTHS.items():
-        line = line.when(
-            F.col("section_no") == number,
-            F.format_string(f"%-{width}s %{COUNT_WIDTHS.get(number, '')}s ", label, value),
-        )
+    for title, width, value_width in TEXT_LAYOUTS:
+        line = line.when(_titled(title), F.format_string(f"%-{width}s %{value_width}s ", label, value))
     slashed = F.format_string(
         "%s %s ", F.regexp_replace(label, _JOINED, "/"), F.regexp_replace(value, _JOINED, "/")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import fixed_values as V
 from tallyforge.functions.period import Period
-from tallyforge.operators.directory import Directory, is_open, memberships, people, places
+from tallyforge.operators.directory import Directory, affiliations_of, is_open, memberships, people, places
 from tallyforge.operators.filters import all_of, in_period
 
 Pairs = Iterable[tuple[str, object]]
@@ -78,6 +78,12 @@ def astronomers_by_department(
 
     ``other_than`` leaves one institution out; by default none is.
     """
+    if directory.frame is not None:
+        rows = directory.frame.filter(is_open() & F.col("placed") & (F.col("is_astronomy") == V.ASTRONOMY))
+        if other_than is not None:
+            rows = rows.filter(F.col("institution") != other_than)
+        counts = rows.groupBy("department_id", "institution").agg(F.count("user_id").alias("users"))
+        return counts.orderBy(F.desc("users"), "department_id")
     rows = directory.affiliations.filter(is_open())
     counts = rows.groupBy("department_id").agg(F.count("user_id").alias("users"))
     astronomy = places(directory).filter(F.col("is_astronomy") == V.ASTRONOMY)
@@ -114,14 +120,8 @@ def account_holders_of(
 ) -> DataFrame:
     """``account_holders`` for users already known to be active, each once."""
     active = active_users.withColumn("active", F.lit(True))
-    users = people(directory).select("user_id", "username", "gender", "is_student")
-    sites = places(directory).select("department_id", "is_astronomy", F.lit(True).alias("placed"))
-    rows = (
-        directory.affiliations.join(directory.system_users(V.EVENT_SYSTEM), "user_id")
-        .join(users.withColumn("known", F.lit(True)), "user_id", "left")
-        .join(sites, "department_id", "left")
-        .join(active, "username", "left")
-    )
+    rows = affiliations_of(directory, V.EVENT_SYSTEM).filter("system_rows IS NOT NULL")
+    rows = rows.join(active, "username", "left")
     described = is_open() & F.col("known") & F.col("placed")
     astronomy = described & all_of([("is_astronomy", V.ASTRONOMY)])
     lines = (
@@ -133,8 +133,10 @@ def account_holders_of(
     )
     cells = []
     for i, (_, condition) in enumerate(lines, 1):
-        cells.append(F.count_if(condition).alias(f"total_{i}"))
-        cells.append(F.count_if(condition & F.col("active")).alias(f"active_{i}"))
+        # A user entered twice in the system counts twice.
+        for name, counted in (("total", condition), ("active", condition & F.col("active"))):
+            number = F.sum(F.when(counted, F.col("system_rows")))
+            cells.append(F.coalesce(number, F.lit(0)).cast("bigint").alias(f"{name}_{i}"))
     return unpivot_lines(rows.agg(*cells), [label for label, _ in lines])
 
 

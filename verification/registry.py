@@ -539,3 +539,37 @@ def rpt_dataset_section(v):
 def rpt_fixed_width(v):
     rows = report.event_report(v.events(), v.directory(), PERIOD)
     return report.report_text(rows).select("section_no", "label", "line")
+
+
+def _service(v: Views) -> report.DatasetService:
+    return report.DatasetService(v.dataset_jobs(), v.site_users(), DATASET_ADMINS, DATASET_PERIOD)
+
+
+def _event_full(v: Views) -> DataFrame:
+    return report.event_report(v.events(), v.directory(), PERIOD, "FRANCE", "FRANCE", _service(v))
+
+
+def _extract_full(v: Views) -> DataFrame:
+    return report.extract_report(
+        v.usage_extract(), v.directory(), "FRANCE", other_than="FRANCE", service=_service(v)
+    )
+
+
+@query
+def rpt_event_full(v):
+    return _event_full(v)
+
+
+@query
+def rpt_extract_full(v):
+    return _extract_full(v)
+
+
+@query
+def rpt_event_full_text(v):
+    return report.report_text(_event_full(v)).select("section_no", "label", "line")
+
+
+@query
+def rpt_extract_full_text(v):
+    return report.report_text(_extract_full(v)).select("section_no", "label", "line")

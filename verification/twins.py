@@ -442,8 +442,70 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
              string_agg(residual_pct::VARCHAR, ':' ORDER BY position), NULL
            FROM demographic GROUP BY criterion""",
     ),
+    "extract_report": (
+        ("extract_institution", "extract_holders", "extract_astronomers", "extract_project",
+         "extract_demographic"),
+        """SELECT 1 AS section_no, 'Usage by Institution' AS section, percentage AS order_key,
+             institution AS label, percentage::VARCHAR || '%' AS value, NULL::VARCHAR AS active_value
+           FROM extract_institution
+           UNION ALL SELECT 2, 'Astronomy account holders(total/active for quarter)',
+             (-line)::DOUBLE, label, total::VARCHAR, active::VARCHAR FROM extract_holders
+           UNION ALL SELECT 3,
+             'Institutions other than Home department with astronomy account holders',
+             users::DOUBLE, institution, users::VARCHAR, NULL FROM extract_astronomers
+           UNION ALL SELECT 4, 'Share of CPU hours usage by project', 0::DOUBLE, code,
+             coalesce(percentage::VARCHAR || '%', '-'), NULL FROM extract_project
+           UNION ALL SELECT 5, 'Usage by Demographic',
+             -CASE criterion WHEN 'gender' THEN 1 WHEN 'student' THEN 2 WHEN 'is_astronomy' THEN 3
+               ELSE 4 END::DOUBLE, criterion, grp || ':  ' || percentage::VARCHAR || '%', NULL
+           FROM extract_demographic""",
+    ),
+    "dataset_report": (
+        ("counted", "returned", "site_user", "family"),
+        """SELECT 6 AS section_no,
+             'General dataset service Usage (total for 01/01/2024 to 15/01/2024)' AS section,
+             order_key, label, value, NULL::VARCHAR AS active_value
+           FROM (SELECT -1::DOUBLE AS order_key, 'Number of jobs' AS label,
+               count(*)::VARCHAR AS value FROM counted
+             UNION ALL SELECT -2, 'Number of active users', count(DISTINCT username)::VARCHAR
+               FROM counted
+             UNION ALL SELECT -3, 'Total records returned', format('{:,}', records) FROM returned
+             UNION ALL SELECT -4, 'Total data-size returned', printf('%.3f GB', gigabytes)
+               FROM returned
+             UNION ALL SELECT -5, 'Registered users', count(*)::VARCHAR FROM site_user
+               WHERE username NOT IN ('0', '1'))
+           UNION ALL SELECT 7,
+             'General Data access breakdown per database (01/01/2024 to 15/01/2024)',
+             jobs::DOUBLE, family, jobs::VARCHAR, NULL FROM family""",
+    ),
+    **{
+        f"{system}_full": (
+            (f"{system}_report", "dataset_report"),
+            f"""SELECT section_no, replace(section, 'Home department', 'FRANCE') AS section, order_key,
+                  CASE WHEN section_no = 2 AND label = 'Home department' THEN 'FRANCE' ELSE label END AS label,
+                  value, active_value
+                FROM {system}_report WHERE NOT (section_no = 3 AND label = 'FRANCE')
+                UNION ALL SELECT * FROM dataset_report""",
+        )
+        for system in ("event", "extract")
+    },
 }
 
+
+def _text_of(report: str) -> str:
+    """The lines of a report, section by section."""
+    return f"""SELECT section_no, label, CASE section_no
+             WHEN 1 THEN rpad(label, 100, ' ') || ' ' || value || ' '
+             WHEN 2 THEN rpad(label || ':', 15, ' ')
+               || CASE WHEN length(label) > 14 THEN substring(label || ':', 16) ELSE '' END
+               || value || '/' || active_value || ' '
+             WHEN 3 THEN rpad(label, 70, ' ') || ' ' || lpad(value, greatest(5, length(value))::INT, ' ') || ' '
+             WHEN 5 THEN replace(replace(label, ':', '/'), '/ ', ': ') || ' '
+               || replace(replace(value, ':', '/'), '/ ', ': ') || ' '
+             ELSE rpad(label, 50, ' ') || ' ' || value || ' ' END AS line
+           FROM {report}"""
+
+
 EVENT_COLUMNS = """event_id, time, type, nodes, cpus, "user", "group", account, job_id, submit_time,
   start_time, end_time, eligible_time, queue, reqwall, features, memory, "partition", rsv,
   qos_requested, qos_delivered, service_units, cpu_seconds"""
@@ -727,55 +789,13 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
              count(*) FILTER (NOT student_match) AS student_mismatches FROM matches""",
     ),
     "rpt_event_path": (("event_report",), "SELECT * FROM event_report"),
-    "rpt_extract_path": (
-        ("extract_institution", "extract_holders", "extract_astronomers", "extract_project",
-         "extract_demographic"),
-        """SELECT 1 AS section_no, 'Usage by Institution' AS section, percentage AS order_key,
-             institution AS label, percentage::VARCHAR || '%' AS value, NULL::VARCHAR AS active_value
-           FROM extract_institution
-           UNION ALL SELECT 2, 'Astronomy account holders(total/active for quarter)',
-             (-line)::DOUBLE, label, total::VARCHAR, active::VARCHAR FROM extract_holders
-           UNION ALL SELECT 3,
-             'Institutions other than Home department with astronomy account holders',
-             users::DOUBLE, institution, users::VARCHAR, NULL FROM extract_astronomers
-           UNION ALL SELECT 4, 'Share of CPU hours usage by project', 0::DOUBLE, code,
-             coalesce(percentage::VARCHAR || '%', '-'), NULL FROM extract_project
-           UNION ALL SELECT 5, 'Usage by Demographic',
-             -CASE criterion WHEN 'gender' THEN 1 WHEN 'student' THEN 2 WHEN 'is_astronomy' THEN 3
-               ELSE 4 END::DOUBLE, criterion, grp || ':  ' || percentage::VARCHAR || '%', NULL
-           FROM extract_demographic""",
-    ),
-    "rpt_dataset_section": (
-        ("counted", "returned", "site_user", "family"),
-        """SELECT 6 AS section_no,
-             'General dataset service Usage (total for 01/01/2024 to 15/01/2024)' AS section,
-             order_key, label, value, NULL::VARCHAR AS active_value
-           FROM (SELECT -1::DOUBLE AS order_key, 'Number of jobs' AS label,
-               count(*)::VARCHAR AS value FROM counted
-             UNION ALL SELECT -2, 'Number of active users', count(DISTINCT username)::VARCHAR
-               FROM counted
-             UNION ALL SELECT -3, 'Total records returned', format('{:,}', records) FROM returned
-             UNION ALL SELECT -4, 'Total data-size returned', printf('%.3f GB', gigabytes)
-               FROM returned
-             UNION ALL SELECT -5, 'Registered users', count(*)::VARCHAR FROM site_user
-               WHERE username NOT IN ('0', '1'))
-           UNION ALL SELECT 7,
-             'General Data access breakdown per database (01/01/2024 to 15/01/2024)',
-             jobs::DOUBLE, family, jobs::VARCHAR, NULL FROM family""",
-    ),
-    "rpt_fixed_width": (
-        ("event_report",),
-        """SELECT section_no, label, CASE section_no
-             WHEN 1 THEN rpad(label, 100, ' ') || ' ' || value || ' '
-             WHEN 2 THEN rpad(label || ':', 15, ' ')
-               || CASE WHEN length(label) > 14 THEN substring(label || ':', 16) ELSE '' END
-               || value || '/' || active_value || ' '
-             WHEN 3 THEN rpad(label, 70, ' ') || ' ' || lpad(value, greatest(5, length(value))::INT, ' ') || ' '
-             WHEN 4 THEN rpad(label, 50, ' ') || ' ' || value || ' '
-             ELSE replace(replace(label, ':', '/'), '/ ', ': ') || ' '
-               || replace(replace(value, ':', '/'), '/ ', ': ') || ' ' END AS line
-           FROM event_report""",
-    ),
+    "rpt_extract_path": (("extract_report",), "SELECT * FROM extract_report"),
+    "rpt_dataset_section": (("dataset_report",), "SELECT * FROM dataset_report"),
+    "rpt_fixed_width": (("event_report",), _text_of("event_report")),
+    "rpt_event_full": (("event_full",), "SELECT * FROM event_full"),
+    "rpt_extract_full": (("extract_full",), "SELECT * FROM extract_full"),
+    "rpt_event_full_text": (("event_full",), _text_of("event_full")),
+    "rpt_extract_full_text": (("extract_full",), _text_of("extract_full")),
 }
 
 
