@@ -10,12 +10,14 @@ one that occurs as often is dropped.
     sums of a polynomial over the hashes of its words, of which the fingerprint of any run is a
     difference.  It sends each fingerprint once, with its count, sorted and as compressed differences.
 2.  Ranges of fingerprints add the counts.  The batches that sent a fingerprint are the pointers to its
-    occurrences: each is told which of its fingerprints are frequent, and nothing else comes back.
+    occurrences: each is told which of its fingerprints are frequent, and one of them to spell it.
 3.  A batch finds the told fingerprints in its texts again and verifies every occurrence, word for word,
-    against the first one; occurrences of another phrase are counted apart.  Only these phrases become
-    strings.  Counts by phrase are exact whatever fingerprints collide, as a collision can only make a
-    fingerprint look more frequent.
-4.  Parts of a frequent phrase are frequent, so cuts are joins of the table of frequent phrases.
+    against its first one; occurrences of another phrase are counted apart.  It answers with a second,
+    independent fingerprint of what the text says, and one batch with the phrase itself.
+4.  Ranges add the answers by both fingerprints.  Where a count has no phrase, because phrases of
+    different batches collide in the first fingerprint, all batches spell what they hold of it and
+    the strings are counted.  So counts are exact unless two phrases agree in 128 bits.
+5.  Parts of a frequent phrase are frequent, so cuts are joins of the table of frequent phrases.
 
 No group depends on a phrase: batches are dealt by key and text, ranges by fingerprint.  Products are
 decimals of 38 digits, exact up to 1e16 words of a language.
@@ -52,6 +54,16 @@ WORD_BASE = 0xD1342543DE82EF95
 WORD_INVERSE = pow(WORD_BASE, -1, 2**64)
 
 
+CHECK_BASE = 0xAF251AF3B0F025B5
+CHECK_INVERSE = pow(CHECK_BASE, -1, 2**64)
+
+
+def _of_words(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, inverse: int) -> np.ndarray:
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power(base, len(values)), out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * _power(inverse, len(values) + 1)[starts])
+
+
 @dataclass
 class Words:
     """The words of a batch in order: where they are in ``low``, their hashes, pieces and texts."""
@@ -62,9 +74,11 @@ class Words:
     hashes: np.ndarray
     piece: np.ndarray
     text: np.ndarray
+    #: Second hashes, of another polynomial, if asked for.
+    checks: np.ndarray
 
     @classmethod
-    def read(cls, column: pa.Array) -> Words:
+    def read(cls, column: pa.Array, checked: bool = False) -> Words:
         parts, shift, pieces = [], 0, 0
         for first, _, data, offsets in text_rounds(column):
             values = _CLASSES[data]
@@ -75,17 +89,15 @@ class Words:
             begins[1:] &= ~inside[:-1] | edge[1:-1]
             stops[:-1] &= ~inside[1:] | edge[1:-1]
             starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-            sums = np.zeros(len(data) + 1, np.uint64)
-            values *= _power(BASE, len(data))
-            np.cumsum(values, out=sums[1:])
-            hashes = mixed((sums[ends] - sums[starts]) * _power(INVERSE, len(data) + 1)[starts])
+            hashes = _of_words(values, starts, ends, BASE, INVERSE)
+            checks = _of_words(values, starts, ends, CHECK_BASE, CHECK_INVERSE) if checked else hashes[:0]
             breaks = np.cumsum(_BREAKING[data] | edge[:-1])[starts]
             text = np.searchsorted(offsets, starts, side="right") - 1 + first
-            parts.append((_LOWER[data], starts + shift, ends + shift, hashes, breaks + pieces, text))
+            parts.append((_LOWER[data], starts + shift, ends + shift, hashes, breaks + pieces, text, checks))
             shift, pieces = shift + len(data), pieces + len(data) + 1
         if not parts:
             none = np.zeros(0, np.int64)
-            return cls(none.astype(np.uint8), none, none, none.astype(np.uint64), none, none)
+            return cls(none.astype(np.uint8), none, none, none.astype(np.uint64), none, none, none.astype(np.uint64))
         return cls(*map(np.concatenate, zip(*parts)))
 
     def runs(self, tongues: np.ndarray):
@@ -101,6 +113,12 @@ class Words:
             at = np.flatnonzero(self.piece[n - 1 :] == self.piece[: count - n + 1]) if count >= n else np.zeros(0, np.int64)
             yield n, at, mixed((sums[at + n] - sums[at]) * back[at] + mixed(tongue[at] + np.uint64(n)))
 
+    def checked(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Second fingerprints of runs."""
+        sums = np.zeros(len(self.checks) + 1, np.uint64)
+        np.cumsum(self.checks * _power(WORD_BASE, len(self.checks)), out=sums[1:])
+        return mixed((sums[at + size] - sums[at]) * _power(WORD_INVERSE, len(self.checks))[at] + size.astype(np.uint64))
+
     def spelled(self, first: int, n: int) -> bytes:
         return b" ".join(self.low[self.starts[k] : self.ends[k]].tobytes() for k in range(first, first + n))
 
@@ -108,11 +126,15 @@ class Words:
         """Equal numbers for equal words: by hash, each occurrence compared with the first byte for byte."""
         _, first, number = np.unique(self.hashes, return_index=True, return_inverse=True)
         size, model = self.ends - self.starts, first[number]
-        if (size == size[model]).all():
-            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            one, other = np.repeat(self.starts, size) + within, np.repeat(self.starts[model], size) + within
-            if (self.low[one] == self.low[other]).all():
-                return number
+
+        def same(some: slice) -> bool:
+            length = size[some]
+            within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+            one, other = (np.repeat(w, length) + within for w in (self.starts[some], self.starts[model[some]]))
+            return bool((self.low[one] == self.low[other]).all())
+
+        if (size == size[model]).all() and all(same(slice(k, k + 50_000)) for k in range(0, len(size), 50_000)):
+            return number
         known: dict[bytes, int] = {}
         return np.array([known.setdefault(self.spelled(k, 1), len(known)) for k in range(len(size))], np.int64)
 
@@ -142,8 +164,17 @@ def _tongues(table: pa.Table) -> np.ndarray:
 
 
 _SENT = "batch int, bucket int, n bigint, prints binary, counts binary"
-_TOLD = "batch int, n bigint, prints binary"
+_TOLD = "batch int, bucket int, n bigint, prints binary, spell binary"
+#: ``lead`` are the places of the prints whose language and phrase follow; ``langs`` and ``totals`` count all words.
+_ANSWERS = """batch int, bucket int, n bigint, prints binary, checks binary, counts binary, lead binary,
+    lead_langs array<string>, lead_phrases array<string>, langs array<string>, totals array<bigint>"""
+#: A phrase with its count, all words of a language (phrase null), or a batch that must spell a print.
+_SETTLED = "lang string, phrase string, f bigint, batch int, print bigint"
 _SPELLED = "lang string, phrase string, f bigint"
+_KINDS = {
+    "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(),
+    "array<string>": pa.list_(pa.string()), "array<bigint>": pa.list_(pa.int64()),
+}
 
 
 def _fingerprints(buckets: int):
@@ -167,19 +198,22 @@ def _frequent(least: int):
     """For a range of fingerprints: to each batch those of its own that are frequent over all batches."""
 
     def frequent(table):
-        sent = [(r["batch"], r["n"], r["prints"], r["counts"]) for r in table.to_pylist()]
-        prints = [_sorted_unpacked(p, n) for _, n, p, _ in sent]
-        counts = np.concatenate([unpacked(c, n, np.uint32) for _, n, _, c in sent]).astype(np.int64)
+        sent = [(r["batch"], r["bucket"], r["n"], r["prints"], r["counts"]) for r in table.to_pylist()]
+        prints = [_sorted_unpacked(p, n) for _, _, n, p, _ in sent]
+        counts = np.concatenate([unpacked(c, n, np.uint32) for _, _, n, _, c in sent]).astype(np.int64)
         every = np.concatenate(prints)
         order = np.argsort(every)
         every = every[order]
         first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
         often = every[first][np.add.reduceat(counts[order], first) >= least]
-        rows = []
-        for (batch, *_), own in zip(sent, prints):
-            own = own[_held(often, own)[0]]
+        rows, open_ = [], np.ones(len(often), bool)
+        for (batch, bucket, *_), own in zip(sent, prints):
+            held, place = _held(often, own)
+            own, place = own[held], place[held]
             if len(own):
-                rows.append((batch, len(own), _sorted_packed(own)))
+                # The first batch that has a fingerprint spells it.
+                rows.append((batch, bucket, len(own), _sorted_packed(own), packed(open_[place])))
+                open_[place] = False
         return _table(_TOLD, rows)
 
     return frequent
@@ -194,8 +228,8 @@ def _held(wanted: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return wanted[place] == values, place
 
 
-def spell_frequent(words: Words, tongues: np.ndarray, langs: list[str], wanted: np.ndarray) -> Counter:
-    """How often each (language, phrase) with a fingerprint in ``wanted`` occurs, by its words."""
+def _occurrences(words: Words, tongues: np.ndarray, wanted: np.ndarray):
+    """(first word, size, place in ``wanted``) of every occurrence; of each place the first; which agree with it."""
     found = []
     for n, at, prints in words.runs(tongues):
         held, place = _held(wanted, prints)
@@ -209,35 +243,115 @@ def spell_frequent(words: Words, tongues: np.ndarray, langs: list[str], wanted:
     for step in range(LONGEST):
         equal = number[np.minimum(at + step, last)] == number[np.minimum(at[model] + step, last)]
         same &= equal | (size <= step)
-    counts = np.bincount(group[same], minlength=len(first))
-    told: Counter = Counter()
-    for k, count in zip(first.tolist(), counts.tolist()):
-        told[langs[words.text[at[k]]], words.spelled(at[k], size[k])] += count
-    for k in np.flatnonzero(~same).tolist():  # another phrase of the same fingerprint
-        told[langs[words.text[at[k]]], words.spelled(at[k], size[k])] += 1
+    return at, size, place, first, group, same
+
+
+def _by_phrase(words: Words, langs: list[str], at: np.ndarray, size: np.ndarray, some: np.ndarray) -> dict:
+    """The places, among ``some``, of the occurrences of each (language, phrase)."""
+    told: dict = {}
+    for k in some.tolist():
+        told.setdefault((langs[words.text[at[k]]], words.spelled(at[k], size[k])), []).append(k)
     return told
 
 
-def _spell(texts, told):
-    """Counts of frequent phrases in a batch of texts, and of all words (phrase null) by language."""
+def _answer(texts, told):
+    """For a batch of texts: what it holds of the fingerprints it was told of, in the same ranges."""
     if not texts.num_rows:
+        return _table(_ANSWERS, [])
+    langs, words, tongues = texts["lang"].to_pylist(), Words.read(texts["text"], checked=True), _tongues(texts)
+    totals: Counter = Counter()
+    for text, count in zip(*(v.tolist() for v in np.unique(words.text, return_counts=True))):
+        totals[langs[text]] += count
+    batch = texts["batch"][0].as_py()
+    rows = [(batch, -1 - batch, 0, b"", b"", b"", b"", [], [], list(totals), list(totals.values()))]
+    told = sorted(told.to_pylist(), key=lambda r: r["bucket"])
+    if told:
+        # Ranges in order make one sorted list.
+        wanted = np.concatenate([_sorted_unpacked(r["prints"], r["n"]) for r in told])
+        spell = np.concatenate([unpacked(r["spell"], r["n"], np.bool_) for r in told])
+        at, size, place, first, group, same = _occurrences(words, tongues, wanted)
+        # One entry a fingerprint, and one for each phrase that only shares it.
+        entry, owner = [first], [place[first]]
+        counts = [np.bincount(group[same], minlength=len(first))]
+        for others in _by_phrase(words, langs, at, size, np.flatnonzero(~same)).values():
+            for k in {int(place[k]) for k in others}:
+                mine = [o for o in others if place[o] == k]
+                entry.append(np.array(mine[:1]))
+                owner.append(np.array([k]))
+                counts.append(np.array([len(mine)]))
+        entry, owner, counts = map(np.concatenate, (entry, owner, counts))
+        order = np.argsort(owner, kind="stable")
+        entry, owner, counts = entry[order], owner[order], counts[order]
+        checks = words.checked(at[entry], size[entry])
+        edges = np.searchsorted(owner, np.cumsum([r["n"] for r in told]))
+        for r, a, b in zip(told, [0, *edges], edges):
+            lead = np.flatnonzero(spell[owner[a:b]]) + a
+            rows.append((
+                batch, r["bucket"], int(b - a), _sorted_packed(wanted[owner[a:b]]), packed(checks[a:b]),
+                packed(counts[a:b].astype(np.uint32)), packed((lead - a).astype(np.uint32)),
+                [langs[words.text[at[k]]] for k in entry[lead]],
+                [words.spelled(at[k], size[k]).decode() for k in entry[lead].tolist()], [], [],
+            ))
+    return _table(_ANSWERS, rows)
+
+
+def _settle(least: int):
+    """For a range of fingerprints: phrases with exact counts, and the batches that must spell the rest."""
+
+    def settle(table):
+        rows, prints, checks, counts, batches, phrase = [], [], [], [], [], {}
+        for r in table.to_pylist():
+            rows += [(lang, None, n, None, None) for lang, n in zip(r["langs"], r["totals"])]
+            if r["n"]:
+                prints.append(_sorted_unpacked(r["prints"], r["n"]))
+                checks.append(unpacked(r["checks"], r["n"], np.uint64))
+                counts.append(unpacked(r["counts"], r["n"], np.uint32).astype(np.int64))
+                batches.append(np.full(r["n"], r["batch"]))
+                lead = unpacked(r["lead"], len(r["lead_phrases"]), np.uint32)
+                names = zip(prints[-1][lead].tolist(), checks[-1][lead].tolist())
+                phrase |= zip(names, zip(r["lead_langs"], r["lead_phrases"]))
+        if prints:
+            prints, checks, counts, batches = map(np.concatenate, (prints, checks, counts, batches))
+            order = np.lexsort((checks, prints))
+            p, c = prints[order], checks[order]
+            first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (c[1:] != c[:-1])]))
+            known, lost = [], set()
+            for name, f in zip(zip(p[first].tolist(), c[first].tolist()), np.add.reduceat(counts[order], first).tolist()):
+                if f >= least and name not in phrase:
+                    lost.add(name[0])
+                elif f >= least:
+                    known.append((*phrase[name], f, None, None, name[0]))
+            rows += [r[:-1] for r in known if r[-1] not in lost]
+            lost = np.isin(prints, np.array(sorted(lost), np.uint64))
+            rows += [(None, None, None, b, h) for b, h in {*zip(batches[lost].tolist(), prints[lost].view(np.int64).tolist())}]
+        return _table(_SETTLED, rows)
+
+    return settle
+
+
+def _spell(texts, told):
+    """Counts of every phrase of a batch that has one of the told prints."""
+    if not texts.num_rows or not told.num_rows:
         return _table(_SPELLED, [])
     langs, words, tongues = texts["lang"].to_pylist(), Words.read(texts["text"]), _tongues(texts)
-    rows = Counter()
-    for text, count in zip(*(v.tolist() for v in np.unique(words.text, return_counts=True))):
-        rows[langs[text]] += count
-    lists = [_sorted_unpacked(r["prints"], r["n"]) for r in told.to_pylist()]
-    spelled = spell_frequent(words, tongues, langs, np.sort(np.concatenate(lists))) if lists else {}
-    return _table(
-        _SPELLED, [(lang, None, n) for lang, n in rows.items()] + [(lang, p.decode(), f) for (lang, p), f in spelled.items()]
-    )
+    wanted = np.sort(np.asarray(told["print"].combine_chunks()).view(np.uint64))
+    at, size, *_ = _occurrences(words, tongues, wanted)
+    held = _by_phrase(words, langs, at, size, np.arange(len(at)))
+    return _table(_SPELLED, [(lang, phrase.decode(), len(places)) for (lang, phrase), places in held.items()])
 
 
 def _table(ddl: str, rows: list[tuple]) -> pa.Table:
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    fields = [f.split() for f in ddl.split(", ")]
+    fields = [f.split() for f in ddl.split(",")]
     columns = list(zip(*rows)) or [()] * len(fields)
-    return pa.table({name: pa.array(values, kinds[kind]) for (name, kind), values in zip(fields, columns)})
+    return pa.table({name: pa.array(values, _KINDS[kind]) for (name, kind), values in zip(fields, columns)})
+
+
+def _settled(rows: DataFrame, batches: int, least: int) -> DataFrame:
+    sent = rows.groupBy("batch").applyInArrow(_fingerprints(batches), schema(_SENT))
+    told = sent.groupBy("bucket").applyInArrow(_frequent(least), schema(_TOLD))
+    # The texts of a batch come from the shuffle that fed its fingerprints.
+    answers = rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_answer, schema(_ANSWERS))
+    return answers.groupBy("bucket").applyInArrow(_settle(least), schema(_SETTLED))
 
 
 def frequent_phrases(
@@ -250,12 +364,14 @@ def frequent_phrases(
     rows = rows.select(
         F.pmod(F.xxhash64("key", "text"), F.lit(batches)).cast("int").alias("batch"), "lang", F.xxhash64("lang").alias("tongue"), "text"
     )
-    sent = rows.groupBy("batch").applyInArrow(_fingerprints(batches), schema(_SENT))
-    told = sent.groupBy("bucket").applyInArrow(_frequent(least), schema(_TOLD))
-    # The texts of a batch come from the shuffle that fed its fingerprints.
-    spelled = rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_spell, schema(_SPELLED))
-    counts = spelled.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return counts.where((F.col("f") >= least) | F.col("phrase").isNull())
+    settled = materialize(_settled(rows, batches, least), "phrases")
+    counts = settled.where("lang is not null").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    lost = settled.where("lang is null").select("batch", "print")
+    if not lost.isEmpty():
+        spelled = rows.groupBy("batch").cogroup(lost.groupBy("batch")).applyInArrow(_spell, schema(_SPELLED))
+        spelled = spelled.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+        counts = materialize(counts.union(spelled.where(F.col("f") >= least)), "phrases")
+    return counts
 
 
 def score_phrases(counts: DataFrame, within: int = 100) -> DataFrame:
@@ -293,7 +409,7 @@ def mine_phrases(docs: DataFrame, least: int = 100, top: int = 2000, within: int
 
     Ranking cuts each task to ``top`` rows of a language before it shuffles.
     """
-    counts = materialize(frequent_phrases(docs, least, **columns), "phrases")
+    counts = frequent_phrases(docs, least, **columns)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = score_phrases(counts, within).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
