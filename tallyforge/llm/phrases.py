@@ -42,7 +42,9 @@ from tallyforge.llm.words import BASE, INVERSE, _power, byte_classes
 from tallyforge.operators.materialize import materialize
 
 LONGEST = 5
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
+#: Bits of a fingerprint.  More cost shuffled bytes, fewer make collisions, each of which is spelled again.
+PRINT_BITS = 56
 BREAKS = b".,;:!?\n\v\f\r"
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -111,7 +113,8 @@ class Words:
         back, tongue = _power(WORD_INVERSE, count), tongues[self.text]
         for n in range(1, LONGEST + 1):
             at = np.flatnonzero(self.piece[n - 1 :] == self.piece[: count - n + 1]) if count >= n else np.zeros(0, np.int64)
-            yield n, at, mixed((sums[at + n] - sums[at]) * back[at] + mixed(tongue[at] + np.uint64(n)))
+            prints = mixed((sums[at + n] - sums[at]) * back[at] + mixed(tongue[at] + np.uint64(n)))
+            yield n, at, prints >> np.uint64(64 - PRINT_BITS)
 
     def checked(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Second fingerprints of runs."""
@@ -179,12 +182,12 @@ _KINDS = {
 
 def _fingerprints(buckets: int):
     """For a batch of texts: its fingerprints in ranges, with counts."""
-    width = -(-(1 << 64) // buckets)
+    width = -(-(1 << PRINT_BITS) // buckets)
 
     def fingerprints(key, table):
         runs = [prints for _, _, prints in Words.read(table["text"]).runs(_tongues(table))]
         prints, counts = np.unique(np.concatenate(runs), return_counts=True)
-        edges = np.searchsorted(prints, np.array([min(i * width, 2**64 - 1) for i in range(1, buckets)], np.uint64))
+        edges = np.searchsorted(prints, np.array([i * width for i in range(1, buckets)], np.uint64))
         rows = []
         for bucket, (a, b) in enumerate(zip([0, *edges], [*edges, len(prints)])):
             if b > a:
@@ -347,7 +350,7 @@ def _table(ddl: str, rows: list[tuple]) -> pa.Table:
 
 
 def _settled(rows: DataFrame, batches: int, least: int) -> DataFrame:
-    sent = rows.groupBy("batch").applyInArrow(_fingerprints(batches), schema(_SENT))
+    sent = rows.groupBy("batch").applyInArrow(_fingerprints(-(-batches // 2)), schema(_SENT))
     told = sent.groupBy("bucket").applyInArrow(_frequent(least), schema(_TOLD))
     # The texts of a batch come from the shuffle that fed its fingerprints.
     answers = rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_answer, schema(_ANSWERS))
