@@ -12,7 +12,6 @@ from tallyforge.functions import labels as L
 from tallyforge.functions import period as P
 from tallyforge.functions.events import epoch_to_timestamp, parse_events, quarantine
 from tallyforge.operators import attribution, directory, event_store, filters
-from tallyforge.operators.materialize import materialize
 from tallyforge.operators.latest import first_by, newest_first
 from tallyforge.operators.residual import residual_percent
 from tallyforge.plans import (
@@ -26,7 +25,7 @@ from tallyforge.plans import (
 )
 from tallyforge.session import working_folder
 from tallyforge.sources import files, tables
-from tallyforge.streaming.ingest import ingest_stream
+from tallyforge.streaming.ingest import REJECTS, ingest_changed_files, ingest_stream
 from verification.views import DATASET_ADMINS, DATASET_PERIOD, EVENT_ADMINS, PERIOD, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,14 +132,26 @@ def flt_drop_admin_usage(v):
 
 @query
 def snk_append_new_events(v):
-    """As ``append_events`` does it: the batch is parsed once, then matched with what is stored."""
-    first = event_store.first_per_event(parse_events(v.log_lines()), ("l_partkey", "l_suppkey"))
-    fresh = event_store.not_stored(materialize(first, "batch"), v.stored_ids())
-    return fresh.select(
+    """What a second load adds to a table that holds the events of every third order."""
+    table, order = working_folder(v.spark, "events"), ("l_partkey", "l_suppkey")
+    event_store.append_events(v.spark, table, parse_events(v.log_lines().filter("l_orderkey % 3 = 0")), order)
+    load = event_store.append_events(v.spark, table, parse_events(v.log_lines()), order)
+    return event_store.read_loads(v.spark, table, [load.name]).select(
         "event_id", "user", "account", F.col("service_units").cast("double").alias("units")
     )
 
 
+@query
+def snk_purge_admins(v):
+    """A table from which the events of administrators were removed, loaded in two parts."""
+    table, order = working_folder(v.spark, "events"), ("l_partkey", "l_suppkey")
+    for part in ("l_orderkey % 2 = 0", "true"):
+        event_store.append_events(v.spark, table, parse_events(v.log_lines().filter(part)), order)
+    event_store.purge_admins(v.spark, table, EVENT_ADMINS)
+    stored = event_store.read_stored(v.spark, table)
+    return stored.select("event_id", "user", F.col("service_units").cast("double").alias("units"))
+
+
 @query
 def snk_ledger_plan(v):
     return event_store.plan_files(v.file_listing(), v.file_ledger())
@@ -167,6 +178,39 @@ def strm_ingest(v):
     )
 
 
+@query
+def strm_rejects(v):
+    """The lines two streams over the same files keep as rejected."""
+    root = write_log_files(v)
+    table, rejects = working_folder(v.spark, "events"), working_folder(v.spark, "rejects")
+    for _ in range(2):
+        checkpoint = working_folder(v.spark, "progress")
+        ingest_stream(v.spark, f"{root}/*", table, checkpoint, EVENT_ADMINS, rejects).awaitTermination()
+    kept = v.spark.read.schema(REJECTS).parquet(rejects)
+    return kept.groupBy("reason", "value").agg(F.sum("times").alias("times"))
+
+
+@query
+def strm_grown_files(v):
+    """Logs loaded by the ledger of their sizes: those of January first, then all that is left."""
+    root = write_log_files(v)
+    table, ledger = working_folder(v.spark, "events"), working_folder(v.spark, "ledger")
+    for glob in (f"{root}/log=events_Jan_*/*", f"{root}/*/*"):
+        ingest_changed_files(v.spark, glob, table, ledger, EVENT_ADMINS)
+    stored = event_store.read_stored(v.spark, table)
+    return stored.select("event_id", "user", F.col("service_units").cast("double").alias("units"))
+
+
+@query
+def src_usage_extract_rejects(v):
+    """Lines of the extract cut short, or with an amount that is no number."""
+    folder = working_folder(v.spark, "extract")
+    rows = v.usage_extract().withColumn("used", F.when(F.col("account").like("p%2"), F.lit("n/a")).otherwise(F.col("used").cast("string")))
+    line = F.when(F.col("account").like("oz%3"), F.concat_ws("|", "cluster", "login", "name", "account"))
+    rows.select(line.otherwise(F.concat_ws("|", *rows.columns)).alias("value")).write.text(folder)
+    return files.usage_extract_rejects(v.spark, folder).select("login", "account")
+
+
 # Dimensions, filters, joins
 
 

@@ -556,6 +556,30 @@ BODIES: dict[str, tuple[tuple[str, ...], str]] = {
              FROM parsed) WHERE rn = 1
              AND event_id NOT IN (SELECT event_id FROM parsed WHERE l_orderkey % 3 = 0)""",
     ),
+    "snk_purge_admins": (
+        ("parsed",),
+        """SELECT event_id, "user", service_units::DOUBLE AS units FROM (
+             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY l_partkey, l_suppkey) AS rn
+             FROM parsed) WHERE rn = 1 AND "user" NOT IN ('u3', 'u17')""",
+    ),
+    "strm_rejects": (
+        ("token",),
+        """SELECT CASE WHEN t[3] <> 'job' THEN 'not a job' WHEN t[5] <> 'JOBEND' THEN 'not a finished job'
+               WHEN NOT contains(t[2], ':') THEN 'no event id'
+               WHEN NOT contains(t[27], ':') THEN 'no delivered QOS' ELSE 'unreadable number' END AS reason,
+             value, count(*) AS times
+           FROM token WHERE t[3] <> 'job' OR t[5] <> 'JOBEND' OR TRY_CAST(t[7] AS BIGINT) IS NULL
+             OR NOT contains(t[2], ':') OR NOT contains(t[27], ':') GROUP BY 1, 2""",
+    ),
+    "strm_grown_files": (
+        ("parsed",),
+        """SELECT event_id, "user", service_units::DOUBLE AS units FROM (
+             SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn
+             FROM parsed) WHERE rn = 1 AND "user" NOT IN ('u3', 'u17')""",
+    ),
+    "src_usage_extract_rejects": (
+        ("extract",), "SELECT login, account FROM extract WHERE account LIKE 'p%2' OR account LIKE 'oz%3'",
+    ),
     "snk_ledger_plan": (
         ("file_listing", "file_ledger"),
         """SELECT f.name, f.size, l.size AS ledger_size, CASE WHEN l.size IS NULL THEN 'new'
