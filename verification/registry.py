@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge import fixed_values as V
+from tallyforge import schemas
 from tallyforge.functions import labels as L
 from tallyforge.functions import period as P
 from tallyforge.functions.events import epoch_to_timestamp, parse_events, quarantine
@@ -132,9 +134,12 @@ def flt_drop_admin_usage(v):
 
 @query
 def snk_append_new_events(v):
-    """What a second load adds to a table that holds the events of every third order."""
+    """What a load adds to a table that holds events, of one day, with the IDs of every third order."""
     table, order = working_folder(v.spark, "events"), ("l_partkey", "l_suppkey")
-    event_store.append_events(v.spark, table, parse_events(v.log_lines().filter("l_orderkey % 3 = 0")), order)
+    columns = {"event_id": F.col("event_id"), "time": F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")}
+    columns |= {c: F.lit(0) for c in order}
+    stored = [columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.EVENT.fields]
+    event_store.append_events(v.spark, table, v.stored_ids().select(*stored, *[columns[c].alias(c) for c in order]), order)
     load = event_store.append_events(v.spark, table, parse_events(v.log_lines()), order)
     return event_store.read_loads(v.spark, table, [load.name]).select(
         "event_id", "user", "account", F.col("service_units").cast("double").alias("units")
