@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyforge import fixed_values as V
 from tallyforge.functions.period import Period
 from tallyforge.operators.filters import finished_in, in_period
+from tallyforge.operators.materialize import materialize
 
 
 def units_sum(events: DataFrame, when: Column | None = None) -> Column:
@@ -82,14 +83,36 @@ def valid_at(moment: Column, start: Column, end: Column) -> Column:
     return (moment >= start) & (end.isNull() | (moment <= end))
 
 
-def affiliation_at_event(events: DataFrame, affiliations: DataFrame) -> DataFrame:
+#: A user's events of one month are a hot bin beyond this many, or beyond a ten-thousandth of all events.
+HOT_ROWS, MOST_HOT_BINS = 1_000_000, 10_000
+
+
+def affiliation_at_event(events: DataFrame, affiliations: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every event with each affiliation of its user valid at that time.
 
-    The user equality carries the join, hashed or merged; the interval is its residual condition.
     A user with overlapping affiliations yields one row for each of them.
+
+    Events meet affiliations by user and month, so a busy user is many keys.  What a user has done in a
+    month is counted first, combined before its shuffle: affiliations are repeated for the months in
+    which their user has events and no others, and a month with very many is dealt over slots, by a
+    hash of the whole event, with its affiliations in each.  There are fewer than ``MOST_HOT_BINS``
+    such months, so their list can be sent to every task.
     """
+    events = events.withColumn("_month", F.trunc(F.to_date("time"), "month"))
+    months = materialize(events.groupBy("user", "_month").agg(F.count("*").alias("_n")), "months")
+    total = months.agg(F.sum("_n")).first()[0] or 0
+    bound = max(hot_rows, total // MOST_HOT_BINS)
+    slots = F.ceil(F.col("_n") / bound).cast("int")
+    hot = months.filter(F.col("_n") > bound).select("user", "_month", slots.alias("_slots"))
     dated = affiliations.withColumnRenamed("username", "user")
-    joined = events.join(dated, "user")
+    overlap = (F.col("start_date") <= F.last_day("_month")) & (
+        F.col("end_date").isNull() | (F.col("end_date") >= F.col("_month"))
+    )
+    bins = months.filter("_month IS NOT NULL").join(dated, "user").filter(overlap)
+    bins = bins.select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / bound).cast("int") - 1)).alias("_slot"))
+    spread = F.pmod(F.xxhash64(*[f"`{c}`" for c in events.columns]), F.coalesce("_slots", F.lit(1))).cast("int")
+    dealt = events.join(F.broadcast(hot), ["user", "_month"], "left").withColumn("_slot", spread)
+    joined = dealt.join(bins.drop("_n"), ["user", "_month", "_slot"]).drop("_month", "_slot", "_slots")
     return joined.filter(valid_at(F.col("time"), F.col("start_date"), F.col("end_date")))
 
 
