@@ -66,6 +66,10 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
     return start, count, mixed(np.repeat(name[first], parts)), text[start]
 
 
+#: The number of a bucket has 24 bits: at 4 MB a block that is 67 TB of text, beyond it blocks must be larger.
+MOST_BLOCKS = 1 << 24
+
+
 def named(names: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket in the upper 24 bits, 40 bits of the name below."""
     return (names % np.uint64(buckets)) << np.uint64(40) | names >> np.uint64(24)
@@ -247,6 +251,8 @@ def find_repeats(
     against none.  An empty table gives an empty result.  Columns named in ``carry`` follow.
     """
     blocks = buckets_for(docs, "text", block_bytes)
+    if blocks > MOST_BLOCKS:
+        raise ValueError(f"{blocks} blocks are more than {MOST_BLOCKS}: take a larger block_bytes")
     carried = [f"carried {i}" for i in range(len(carry))]
     given = need(docs, key, "text", *carry).toDF("doc", "text", *carried).withColumn("doc", F.col("doc").cast("bigint"))
     # The same exchange serves all three passes over the text.

@@ -68,7 +68,10 @@ def records(docs: DataFrame, key: str = "doc_id", tokens: int = TOKENS, vocabula
                 piece = bytes(held[begun : begun + stride])
                 used = sum(1 for e in ends if e <= begun + len(piece))
                 parts = within[: used + (used < len(within) and (ends[used - 1] if used else 0) < begun + len(piece))]
-                ids = np.frombuffer(piece, "<u4").astype("<u2").tobytes()
+                ids = np.frombuffer(piece, "<u4")
+                if ids.max() >= 1 << 8 * ID_BYTES:
+                    raise ValueError(f"id {ids.max()} of the vocabulary does not fit {ID_BYTES} bytes")
+                ids = ids.astype("<u2").tobytes()
                 out.append((task, number, len(piece) // 4, parts, ids.ljust(ID_BYTES * tokens, b"\0")))
                 within, ends = within[used:], ends[used:]
                 begun += len(piece)
@@ -151,11 +154,20 @@ def in_training_order(
     return placed.repartitionByRange(parts, "slot").sortWithinPartitions("slot")
 
 
+def checksum(path: str) -> int:
+    """crc32 of a file, read a megabyte at a time."""
+    crc = 0
+    with open(path, "rb") as held:
+        while data := held.read(1 << 20):
+            crc = zlib.crc32(data, crc)
+    return crc
+
+
 def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
     """Write ``shard-NNNNNN.bin`` files to a folder that all executors reach as local files.
 
     Each shard is dealt to one task, written beside its place and renamed when whole; a shard that is
-    there already with its full size is not written again, so a broken run goes on where it stopped.
+    there already with the same size and crc32 is left as it is, any other is replaced.
     Returns one row per shard: path, records, bytes and crc32.
     """
 
@@ -166,7 +178,7 @@ def write_shards(ordered: DataFrame, folder: str) -> DataFrame:
         def close():
             file.close()
             size = os.path.getsize(file.name)
-            if os.path.exists(path) and os.path.getsize(path) == size:
+            if os.path.exists(path) and os.path.getsize(path) == size and checksum(path) == crc:
                 os.unlink(file.name)
             else:
                 os.replace(file.name, path)

@@ -256,3 +256,9 @@ def test_a_dense_group_is_not_multiplied_by_the_forest():
         for tree in fit_forest(unit, total, 0.93, trees=2):
             rows, leaves = tree.leaves(unit)
             assert len(rows) <= 16 * len(unit) and len(set(leaves.tolist())) >= least
+
+
+def test_more_blocks_than_numbers_are_refused(make_docs, monkeypatch):
+    monkeypatch.setattr(R, "MOST_BLOCKS", 7)
+    with pytest.raises(ValueError, match="larger block_bytes"):
+        R.find_repeats(make_docs([(1, "x")]))

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from tallyforge.llm.packing import TIERS, pack_documents
@@ -25,6 +26,30 @@ def test_ids_are_the_vocabularys(given_docs):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == ids(text)[:-1]
 
 
+@pytest.mark.parametrize("special", [False, True])
+def test_long_runs_of_blanks_are_encoded(special):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model.encode_special_tokens = not special
+    encoder = Encoder(special=special)
+    for text in ("a" + " " * 1_000_000 + "b<|endoftext|>", "\n" * 5_000_000, "x" + " " * 50_001 + "y"):
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_that_two_bytes_do_not_hold_are_refused(make_docs, monkeypatch, tmp_path):
+    ranks = tmp_path / "ranks"
+    given = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read().splitlines()[:256]
+    ranks.write_bytes(b"\n".join(b"%s %d" % (line.split()[0], 70_000 + i) for i, line in enumerate(given)))
+    with pytest.raises(Exception, match="does not fit 2 bytes"):
+        in_training_order(make_docs([(1, "x")]), vocabulary=str(ranks)).collect()
+
+
+def test_other_documents_replace_the_shards_of_a_folder(make_docs, tmp_path):
+    docs = make_docs([(i, f"text {i} " * 200) for i in range(40)], 2)
+    for key in (1, 2, 2):
+        for shard in write_shards(in_training_order(docs, records_per_shard=5, permutation_key=key), str(tmp_path)).collect():
+            assert zlib.crc32(open(shard.path, "rb").read()) == shard.crc32
+
+
 def rows(given_docs):
     return given_docs[:150] + [(900, None), (901, ""), (902, "x"), (902, "x"), (None, "no key"), (903, "long word " * 40_000)]
 
