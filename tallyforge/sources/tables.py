@@ -1,7 +1,8 @@
-"""Relational tables, from Parquet folders or over JDBC, behind one loader."""
+"""Relational tables, from Parquet folders, over JDBC or a Python driver, behind one loader."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge import schemas
+from tallyforge.sources.relational import DbApiTable
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,36 @@ class JdbcSource:
         )
 
 
+@dataclass(frozen=True)
+class DbApiSource:
+    """Tables of a database by its Python driver; ``partitions`` as for ``JdbcSource``, over whole numbers.
+
+    ``schemas`` declares the columns of each table.  ``text_moments`` is for databases that keep dates
+    and times as text.  Filters on single columns are part of the query sent to the database.
+    """
+
+    driver: str
+    connect: Mapping[str, object]
+    schemas: Mapping[str, T.StructType]
+    partitions: Mapping[str, tuple[str, int]] = field(default_factory=dict)
+    fetch_size: int = 10_000
+    text_moments: bool = False
+    quote: str = '"'
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        spark.dataSource.register(DbApiTable)
+        # A setting of the session, off by default.
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+        options = {
+            "driver": self.driver, "connect": json.dumps(dict(self.connect)), "table": self.quote + name + self.quote,
+            "fetchsize": str(self.fetch_size), "quote": self.quote, "textmoments": str(self.text_moments).lower(),
+        }
+        if name in self.partitions:
+            column, readers = self.partitions[name]
+            options |= {"partitioncolumn": column, "numpartitions": str(readers)}
+        return spark.read.format("dbapi").schema(self.schemas[name]).options(**options).load()
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The declared columns, in order and in the declared types; others are pruned."""
     return df.select(*[F.col(f"`{c.name}`").cast(c.dataType).alias(c.name) for c in schema.fields])
@@ -74,7 +106,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def load_table(
     spark: SparkSession,
     name: str,
-    source: ParquetSource | JdbcSource,
+    source: ParquetSource | JdbcSource | DbApiSource,
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """One table of a source, in its declared schema when one is given."""
@@ -84,7 +116,7 @@ def load_table(
 
 def load_events(
     spark: SparkSession,
-    source: ParquetSource | JdbcSource,
+    source: ParquetSource | JdbcSource | DbApiSource,
     name: str = "job_event",
     id_column: str = "ID",
 ) -> DataFrame:
@@ -93,7 +125,7 @@ def load_events(
     CPU seconds are whole, so they are found again from hours that were stored as doubles.  A fact
     table behind a database is refused unless its reading is divided among executors.
     """
-    if isinstance(source, JdbcSource) and name not in source.partitions:
+    if not isinstance(source, ParquetSource) and name not in source.partitions:
         raise ValueError(f"name a partition column for {name}: one connection would read all of it")
     table = source.read(spark, name).withColumnRenamed(id_column, "event_id")
     if "cpu_seconds" not in table.columns:
@@ -110,7 +142,7 @@ def legacy_users(users: DataFrame, institutions: DataFrame, user_institutions: D
     )
 
 
-def load_legacy_users(spark: SparkSession, source: ParquetSource | JdbcSource) -> DataFrame:
+def load_legacy_users(spark: SparkSession, source: ParquetSource | JdbcSource | DbApiSource) -> DataFrame:
     return legacy_users(
         load_table(spark, "user", source, schemas.LEGACY_USERS),
         load_table(spark, "institution", source, schemas.LEGACY_INSTITUTIONS),
