@@ -31,12 +31,18 @@ def _several(value: Column) -> Column:
 
 
 def by_project(directory: Directory) -> DataFrame:
-    """Each project with members; one whose members have no profile is neither kind."""
+    """Each project with members; one whose members have no profile is neither kind.
+
+    Members are first counted by project, institution and country, an aggregate by hash that combines
+    before its shuffle.  The smallest and largest values, which need sorted rows, are then taken of a
+    few combinations a project, not of all its members.
+    """
     profiles = labelled_users(directory, V.EVENT_SYSTEM).select("username", "institution", "country")
     rows = project_members(directory).join(profiles, "username", "left")
+    rows = rows.groupBy("project_code", "institution", "country").agg(F.count("institution").alias("members"))
     national = F.when(F.col("country") == V.NATIONAL_COUNTRY, F.col("institution"))
     return rows.groupBy("project_code").agg(
-        F.count("institution").alias("members_with_profile"),
+        F.sum("members").alias("members_with_profile"),
         _several(F.col("country")).alias("international"),
         _several(national).alias("several_national_institutions"),
     )

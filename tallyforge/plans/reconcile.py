@@ -21,7 +21,7 @@ def user_matches(
 
     A user in several institutions is compared at the one with the smallest id.  The institution
     agrees when the codes are equal or the map leads to the directory's; a code the map does not
-    know is a mismatch.  A large map is given as a DataFrame (code, mapped_code) and joined.
+    know is a mismatch.  The map is a table (code, mapped_code), or what makes one, and is joined.
     """
     one = first_by(directory_users, ["username"], ["institution_id", "institution_code"])
     known = one.select(
@@ -31,12 +31,10 @@ def user_matches(
         code_label(F.col("gender"), V.LEGACY_GENDER_LABELS).alias("known_gender"),
         F.lit(True).alias("found"),
     )
-    if isinstance(code_map, DataFrame):
-        codes = code_map.select(F.col("code").alias("institution_code"), "mapped_code")
-        coded = roster.join(codes, "institution_code", "left")
-    else:
-        mapped = code_label(F.col("institution_code"), code_map)
-        coded = roster.withColumn("mapped_code", mapped)
+    if not isinstance(code_map, DataFrame):
+        code_map = roster.sparkSession.createDataFrame(list(code_map.items()), "code string, mapped_code string")
+    codes = code_map.select(F.col("code").alias("institution_code"), "mapped_code")
+    coded = roster.join(codes, "institution_code", "left")
 
     found = F.coalesce("found", F.lit(False))
     student = code_label(F.col("student"), V.ROSTER_STUDENT_FLAGS)
