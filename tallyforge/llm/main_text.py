@@ -3,11 +3,16 @@
 The events of the standard-library parser are cut into lines, one per block element.  A line's ratio
 is its characters over the tags met in it.  The ratios are smoothed by a Gaussian over neighbouring
 lines and split in two clusters by a threshold; the lines of the upper cluster say where the content
-lies.  The page's content region is the deepest element that holds ``REGION_SHARE`` of their text; an
-<article>, or else a <main>, that holds this share too goes before others.  The text is every line of that region that is not page furniture (menus, headers, footers, sidebars, notices,
+lies.  The deepest element that holds ``REGION_SHARE`` of their text is the core of the region; it grows to
+every element around it that adds ``GROWN_SHARE`` of that text or more, so parts that stand side by side
+stay together.  An <article>, or else a <main>, that holds the core's share goes before others.  The
+text is every line of the region that is not page furniture (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments), short lines included.
-A class or id makes an element furniture only if the whole name says so and it does not hold most
-of the content text.
+A class or id that has a word for furniture makes an element furniture, unless it says that there is none
+or in what state it is (``no-sidebar``, ``comments-open``), and unless the element holds most of the content.
+
+A page is parsed once.  Elements are numbered as they open and know their parents, so masses are added up
+from the last element to the first, and neither depth nor unclosed elements cost more than their number.
 """
 
 from __future__ import annotations
@@ -35,42 +40,47 @@ FURNITURE_WORDS = set(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar "
     "menu nav navbar navigation header footer masthead breadcrumb breadcrumbs comment comments notice notices "
     "cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login share sharing social "
-    "related widget toolbar pagination pager disqus reply replies respond".split()
-)
-#: Words that may stand beside those in the name of a piece of furniture.
-FURNITURE_PLACES = set(
-    "site main left right top bottom wrapper wrap container box links bar area slot unit inner outer global "
-    "primary secondary".split()
+    "related widget toolbar pagination pager disqus reply replies respond alert alerts".split()
 )
+#: Words that say of furniture that it is not here, or how it is: the name of what is around it.
+STATES = set("no not has have with without open opened closed on off enabled disabled hide show".split())
+#: Parts of an article whose header is its title.
+TITLED = set("entry article post content story".split())
 INLINE = set("p b i em strong span a".split())
 CLOSED_BY_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
 WORD = re.compile(r"[a-z]+")
 #: Width of the smoothing in lines, and the share of the content text that a region must hold.
 SIGMA, REGION_SHARE = 1.0, 0.7
+#: What an element around the core must add to take part.
+GROWN_SHARE = 0.1
 
 
 def _names_furniture(token: str) -> bool:
-    """Whether a whole class or id says furniture: its words all do, or say where it stands.
-
-    So ``no-sidebar``, ``has-menu``, ``comments-open`` and ``entry-header`` are none.
-    """
+    """Whether a whole class or id says furniture; ``no-sidebar``, ``comments-open``, ``entry-header`` do not."""
     words = set(WORD.findall(token))
-    return not FURNITURE_WORDS.isdisjoint(words) and words <= FURNITURE_WORDS | FURNITURE_PLACES
+    said = words & FURNITURE_WORDS
+    if not words.isdisjoint(TITLED):
+        said -= {"header"}
+    return bool(said) and words.isdisjoint(STATES)
 
 
-class _Lines(HTMLParser):
-    """Cuts a page into lines: text, tags, whether furniture, and the open elements."""
+class _Page(HTMLParser):
+    """Cuts a page into lines: pieces of text with their elements, tags, and the element around."""
 
-    def __init__(self, spared: frozenset[int] | None = None):
-        """``spared`` are the elements whose names are not looked at, None for all."""
+    def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
-        self.kinds: list[str] = []  # of every element by number
-        self.named: list[int] = []  # elements that only their names make furniture
-        self._spared = spared
-        self._open: list[tuple[str, bool, int]] = []
-        self._text: list[str] = []
+        self.lines: list[tuple[list[tuple[str, int]], int, int]] = []
+        # Of every element by number; the first is the page itself.
+        self.kinds, self.parents, self.depths = [""], [-1], [0]
+        self.hard, self.named = [False], [False]  # furniture for what it is, or only by its name
+        self._open: list[int] = [0]
+        self._places: dict[str, list[int]] = {}  # where elements of each tag are among the open ones
+        self._tags_of = [""]
+        self._pieces: list[tuple[str, int]] = []
         self._tags = 0
+        self.feed(html)
+        self.close()
+        self.flush()
 
     def _is_furniture(self, tag: str, attrs) -> bool:
         if tag in FURNITURE:
@@ -91,23 +101,20 @@ class _Lines(HTMLParser):
             name in ("class", "id") and value and any(map(_names_furniture, value.lower().split())) for name, value in attrs
         )
 
-    def _furniture(self) -> bool:
-        return bool(self._open) and self._open[-1][1]
-
     def flush(self) -> None:
-        text = " ".join("".join(self._text).split())
-        if text:
-            self.lines.append((text, self._tags, self._furniture(), tuple(n for _, _, n in self._open)))
-        self._text, self._tags = [], 0
+        if self._pieces:
+            self.lines.append((self._pieces, self._tags, self._open[-1]))
+        self._pieces, self._tags = [], 0
 
     def _close(self, tag: str, within: tuple[str, ...] = ()) -> None:
         """Close the innermost open element of this name and all inside it, if there is one."""
-        for at in range(len(self._open) - 1, -1, -1):
-            if self._open[at][0] in within:
-                return
-            if self._open[at][0] == tag:
-                del self._open[at:]
-                return
+        places = self._places.get(tag)
+        if not places or any(self._places.get(w) and self._places[w][-1] > places[-1] for w in within):
+            return
+        at = places[-1]
+        for element in self._open[at:]:
+            self._places[self._tags_of[element]].pop()
+        del self._open[at:]
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -120,15 +127,18 @@ class _Lines(HTMLParser):
         self._tags += 1
         if tag in VOID:
             if tag == "br":
-                self._text.append(" ")
+                self._pieces.append((" ", self._open[-1]))
             return
-        role = dict(attrs).get("role")
-        self.kinds.append("main" if role == "main" else tag)
-        element, furniture = len(self.kinds) - 1, self._is_furniture(tag, attrs)
-        if not furniture and self._is_named_furniture(tag, attrs):
-            self.named.append(element)
-            furniture = self._spared is not None and element not in self._spared
-        self._open.append((tag, self._furniture() or furniture, element))
+        around, element = self._open[-1], len(self.kinds)
+        self.kinds.append("main" if dict(attrs).get("role") == "main" else tag)
+        self._tags_of.append(tag)
+        self.parents.append(around)
+        self.depths.append(self.depths[around] + 1)
+        hard = self._is_furniture(tag, attrs)
+        self.hard.append(hard)
+        self.named.append(not hard and self._is_named_furniture(tag, attrs))
+        self._places.setdefault(tag, []).append(len(self._open))
+        self._open.append(element)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -140,10 +150,36 @@ class _Lines(HTMLParser):
         self._close(tag)
 
     def handle_data(self, data):
-        # Furniture inside a block of content, such as a script in a paragraph, leaves no text.
-        if self._furniture() and not (self._open[-1][0] in BLOCKS):
-            return
-        self._text.append(data)
+        self._pieces.append((data, self._open[-1]))
+
+    def furniture(self, spared: frozenset[int] | None) -> list[bool]:
+        """Whether each element is furniture or in it; names count but for those spared, None for all."""
+        out = []
+        for element, parent in enumerate(self.parents):
+            named = spared is not None and self.named[element] and element not in spared
+            out.append(self.hard[element] or named or parent >= 0 and out[parent])
+        return out
+
+    def read(self, furniture: list[bool]) -> list[tuple[str, int, int]]:
+        """(text, tags, element) of the lines that are no furniture and hold text.
+
+        Furniture inside a block of content, such as a script in a paragraph, leaves no text.
+        """
+        lines = []
+        for pieces, tags, element in self.lines:
+            kept = (t for t, e in pieces if not furniture[e] or self._tags_of[e] in BLOCKS)
+            if text := " ".join("".join(kept).split()):
+                lines.append((text, 0 if furniture[element] else max(1, tags), element))
+        return lines
+
+    def summed(self, values: list[tuple[int, int]]) -> list[int]:
+        """What the lines in each element have together, from (element, value) of lines."""
+        out = [0] * len(self.parents)
+        for element, value in values:
+            out[element] += value
+        for element in range(len(out) - 1, 0, -1):
+            out[self.parents[element]] += out[element]
+        return out
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -169,70 +205,54 @@ def threshold(values: np.ndarray) -> float:
     return middle
 
 
-def _read(html: str, spared: frozenset[int] | None) -> _Lines:
-    parser = _Lines(spared)
-    parser.feed(html)
-    parser.close()
-    parser.flush()
-    return parser
-
-
-def _content_lines(lines) -> np.ndarray:
-    """Whether each line is of the upper cluster of smoothed ratios."""
-    ratios = np.array([0.0 if furniture else len(text) / max(1, tags) for text, tags, furniture, _ in lines])
+def _content_lines(lines) -> list[bool]:
+    """Whether each line is of the upper cluster of smoothed ratios; lines of furniture, without tags, are not."""
+    ratios = np.array([len(text) / tags if tags else 0.0 for text, tags, _ in lines])
     smooth = smoothed(ratios)
-    return smooth >= threshold(smooth)
+    return [bool(above and tags) for above, (_, tags, _) in zip(smooth >= threshold(smooth), lines)]
 
 
-def _spared(parser: _Lines) -> frozenset[int]:
+def _spared(page: _Page, lines) -> frozenset[int]:
     """Elements named like furniture that are the page's content all the same.
 
     Such an element holds more than half of the content text, in several lines, or all text of the page.
     """
-    mass, count, every = (dict.fromkeys(parser.named, 0) for _ in range(3))
-    total = lines = 0
-    for (text, _, furniture, inside), content in zip(parser.lines, _content_lines(parser.lines) if parser.lines else ()):
-        if furniture:
-            continue
-        lines, total = lines + 1, total + len(text) * bool(content)
-        for element in every.keys() & inside:
-            every[element] += 1
-            mass[element] += len(text) * bool(content)
-            count[element] += bool(content)
-    return frozenset(e for e in mass if lines and (every[e] == lines or 2 * mass[e] > total and count[e] > 1))
+    content = _content_lines(lines) if lines else []
+    mass = page.summed([(e, len(t) * c) for (t, _, e), c in zip(lines, content)])
+    count = page.summed([(e, int(c)) for (_, _, e), c in zip(lines, content)])
+    every = page.summed([(e, 1) for _, tags, e in lines if tags])
+    named = (e for e, is_named in enumerate(page.named) if is_named)
+    return frozenset(e for e in named if every[0] and (every[e] == every[0] or 2 * mass[e] > mass[0] and count[e] > 1))
 
 
 def main_text(html: str) -> str:
     """The main text of one page, blocks joined by a line feed; empty if there is none."""
-    parser = _read(html, None)
-    if parser.named:
-        parser = _read(html, _spared(parser))
-    lines = parser.lines
-    if not any(not furniture for _, _, furniture, _ in lines):
+    page = _Page(html)
+    furniture = page.furniture(None)
+    lines = page.read(furniture)
+    if any(page.named):
+        furniture = page.furniture(_spared(page, lines))
+        lines = page.read(furniture)
+    if not any(tags for _, tags, _ in lines):
         return ""
-    chosen = _content_lines(lines)
-    mass: dict[int, int] = {}  # content text by element
-    any_text: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for (text, _, furniture, inside), content in zip(lines, chosen):
-        if furniture:
-            continue
-        total += len(text) * bool(content)
-        for level, element in enumerate(inside):
-            depth[element] = level
-            any_text[element] = any_text.get(element, 0) + len(text)
-            mass[element] = mass.get(element, 0) + len(text) * bool(content)
-    region = None
+    mass = page.summed([(e, len(t) * c) for (t, _, e), c in zip(lines, _content_lines(lines))])
+    total, region = mass[0], 0
     if total:
-        holding = [e for e in mass if mass[e] >= REGION_SHARE * total and parser.kinds[e] not in INLINE]
-        region = max(holding, key=lambda e: (depth[e], -e), default=None)
-        # A named element may be wider than the deepest, and takes in the short lines around it.
-        named = [e for e in holding if parser.kinds[e] in ("article", "main")]
-        region = max(named, key=lambda e: (parser.kinds[e] == "article", depth[e], -e), default=region)
-    return "\n".join(
-        text for text, _, furniture, inside in lines if not furniture and (region is None or region in inside)
-    )
+        holding = [
+            e for e in range(1, len(mass)) if mass[e] >= REGION_SHARE * total and page.kinds[e] not in INLINE and not furniture[e]
+        ]
+        region = around = max(holding, key=lambda e: (page.depths[e], -e), default=0)
+        while around:
+            inner, around = around, page.parents[around]
+            if mass[around] - mass[inner] >= GROWN_SHARE * total:
+                region = around
+        # A named element takes in the short lines around the core.
+        named = [e for e in holding if page.kinds[e] in ("article", "main")]
+        region = max(named, key=lambda e: (page.kinds[e] == "article", page.depths[e], -e), default=region)
+    inside = [False] * len(mass)
+    for element, parent in enumerate(page.parents):
+        inside[element] = element == region or parent >= 0 and inside[parent]
+    return "\n".join(text for text, tags, element in lines if tags and inside[element])
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -80,3 +80,40 @@ def test_automaton_spans_words():
     urls = [f"a.host{i}.example/path/{i}/x".encode() for i in range(40)]
     assert machine.patterns(machine.matches(urls)) == [[2 * i + 1] for i in range(40)]
     assert machine.patterns(machine.matches([])) == []
+
+
+FURNITURE_NAMES = [
+    "comment-list", "reader-comments", "user-comments", "comments-section", "comment-thread", "ad-300x250", "google-ad", "related-posts",
+    "share-buttons", "site-alert", "alert", "promo-card", "newsletter-form", "cookie-policy-notice",
+]
+
+
+@pytest.mark.parametrize("name", FURNITURE_NAMES)
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_named_furniture_goes_even_inside_the_content(name, tag):
+    text = f"<h1>T</h1><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div><p>{LONG}</p>"
+    assert main_text(page(f"<{tag} class='x'>{text}</{tag}>")) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_parts_of_an_article_side_by_side_stay_together():
+    first, second = f"<p>{LONG}</p>" * 3, f"<p>{LONG}</p>"
+    split = f"<div id='content'><h1>Title</h1><div>{first}</div><div>{second}</div></div>"
+    assert main_text(page(split)) == "\n".join(["Title", *[LONG.strip()] * 4])
+    deeper = f"<div><div><div>{first}</div></div><div><div>{second}</div></div></div>"
+    assert main_text(page(deeper)) == "\n".join([LONG.strip()] * 4)
+    beside = f"<div><ul><li><a>one</a><li><a>two</a></ul></div><div>{first}</div><div><a>more</a></div>"
+    assert main_text(page(beside)) == "\n".join([LONG.strip()] * 3)
+
+
+@pytest.mark.parametrize("html", ["<div>" * 50_000 + "<p>x", "<b>" * 50_000 + "x", "<div><p>x</p>" * 50_000, "</i>" * 50_000 + "<span>" * 50_000 + "x"])
+def test_unclosed_elements_cost_their_number(html):
+    import time
+
+    begun = time.perf_counter()
+    assert set(main_text(html).split("\n")) == {"x"}
+    assert time.perf_counter() - begun < 20
+
+
+def test_furniture_inside_a_block():
+    assert main_text(page(f"<p>{LONG}<span class='share'>Share</span> end<select><option>o</select></p>")) == f"{LONG.strip()} end"
+    assert main_text(page(f"<p>{LONG}</p><div hidden>gone</div><div role='alert'>gone</div>")) == LONG.strip()
