@@ -8,6 +8,8 @@ by document keep them.  An empty table passes through all stages and gives no pi
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,26 @@ def _free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+def by_plain_names(stage):
+    """The stage under names that need no quotes: a caller's column may hold a dot, a blank or a backtick."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        taken = {c.lower() for c in docs.columns}
+        plain = {}
+        for number, name in enumerate(docs.columns):
+            if not (name.isascii() and name.isidentifier()):
+                plain[name] = f"column_{number}"
+                while plain[name] in taken:
+                    plain[name] += "_"
+        given = {v: k for k, v in plain.items()}
+        out = stage(spark, docs.toDF(*[plain.get(c, c) for c in docs.columns]), sf_dir)
+        return out.toDF(*[given.get(c, c) for c in out.columns])
+
+    return run
+
+
+@by_plain_names
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention model scores at 0.3 or more; null and empty texts are scored too."""
     model = quality.learn_quality(docs, table(spark, sf_dir, "labels"))
@@ -34,13 +56,18 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return scored.where(F.col(name) >= PASSING).drop(name)
 
 
+@by_plain_names
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each component; rows that repeat an id are one document."""
+    """The document of the smallest id of each component; rows that repeat an id are one document.
+
+    Null and empty texts and null ids are linked with nothing and stay.
+    """
     judged = near_duplicates.near_duplicates(docs)
     gone = materialize(judged.where("doc_id is not null and not kept").select("doc_id").distinct(), "copies")
     return docs.join(decontamination.sent(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
 
 
+@by_plain_names
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings that an earlier document has; characters cut in part go whole.
 
@@ -57,13 +84,18 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*docs.columns)
 
 
+@by_plain_names
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found; null and empty texts hold none, repeated rows all stay or go."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
+@by_plain_names
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 tokens, with their ids."""
+    """Pieces of all documents in sequences of at most 1024 tokens, with their ids.
+
+    A null or empty text is its end-of-text id alone; repeated rows are packed each for itself.
+    """
     return packing.pack_documents(docs)
 
 
