@@ -135,4 +135,12 @@ def test_stages_keep_columns_and_take_effect(spark, given):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
+
+
+def test_stages_take_columns_of_any_name(spark, given):
+    docs = spark.read.parquet(f"{given}/documents.parquet").limit(30).selectExpr("*", "1 AS `a.b`", "'x' AS `c d`", "2 AS column_5")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, given)
+        assert kept.columns == docs.columns, name
+        assert {r["a.b"] for r in kept.collect()} <= {1}
