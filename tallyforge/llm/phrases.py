@@ -16,7 +16,7 @@ one that occurs as often is dropped.
     independent fingerprint of what the text says, and one batch with the phrase itself.
 4.  Ranges add the answers by both fingerprints.  Where a count has no phrase, because phrases of
     different batches collide in the first fingerprint, all batches spell what they hold of it and
-    the strings are counted.  So counts are exact unless two phrases agree in 128 bits.
+    the strings are counted.  So counts are exact unless two phrases agree in 120 bits.
 5.  Parts of a frequent phrase are frequent, so cuts are joins of the table of frequent phrases.
 
 No group depends on a phrase: batches are dealt by key and text, ranges by fingerprint.  Products are
