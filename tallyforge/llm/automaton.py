@@ -204,8 +204,8 @@ class Automaton:
     def states(self) -> int:
         return len(self.steps) // self.codes
 
-    def along(self, codes: np.ndarray) -> np.ndarray:
-        """The state after each code, from the start.
+    def along(self, codes: np.ndarray, begin: int | None = None) -> np.ndarray:
+        """The state after each code, from the start or the state ``begin``.
 
         The run is cut in lanes that step together, each as if it began at the start.  Lanes whose
         predecessor ends elsewhere step again from there until they meet the states they had, which
@@ -220,13 +220,15 @@ class Automaton:
         grid[: len(codes)] = codes
         grid = np.ascontiguousarray(grid.reshape(lanes, width).T)
         seen = np.empty((width, lanes), np.intp)
-        now = np.full(lanes, self.start, np.intp)
+        begin = self.start if begin is None else begin
+        assumed = np.full(lanes, self.start, np.intp)
+        assumed[0] = begin
+        now = assumed.copy()
         for i in range(width):
             np.take(self.steps, now + grid[i], out=seen[i], mode="clip")
             now = seen[i]
-        assumed = np.full(lanes, self.start, np.intp)
         for _ in range(MENDING_ROUNDS):
-            entered = np.concatenate([[self.start], seen[-1, :-1]])
+            entered = np.concatenate([[begin], seen[-1, :-1]])
             wrong = np.flatnonzero(entered != assumed)
             if not len(wrong):
                 break
@@ -315,4 +317,4 @@ def compile_patterns(patterns: list[str], anchored: bool = True, backwards: bool
     codes = len(sample) + 1
     steps = np.column_stack([table, np.full(len(table), start)]) * codes
     wide = lambda values: np.repeat(values, codes)
-    return Automaton(code.astype(np.intp), codes, steps.reshape(-1).astype(np.intp), wide(output), wide(hope), start * codes)
+    return Automaton(code.astype(np.uint16), codes, steps.reshape(-1).astype(np.intp), wide(output), wide(hope), start * codes)

@@ -51,6 +51,8 @@ RULES = [
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----"),
 ]
+#: Codes whose states are held at a time.
+CODES_AT_ONCE = 1 << 22
 #: The kinds that every scan of the query must have.
 BASE = ("assign", "access", "hex")
 
@@ -83,14 +85,21 @@ class Scanner:
         texts = np.arange(len(offsets) - 1)
         # One end-of-text code behind each text keeps matches apart.
         codes = np.insert(self.begins.code[data], offsets[1:], self.begins.codes - 1)
-        told = self.begins.output[self.begins.along(codes[::-1])[::-1]]
-        at = np.flatnonzero(told)
+        # From the end, some codes at a time, so that a text of any length takes little beside its bytes.
+        found, state = [], None
+        for high in range(len(codes), 0, -CODES_AT_ONCE):
+            low = max(0, high - CODES_AT_ONCE)
+            states = self.begins.along(codes[low:high][::-1], state)
+            state, told = int(states[-1]), self.begins.output[states[::-1]]
+            held = np.flatnonzero(told)
+            found.append((held + low, told[held]))
+        at, told = map(np.concatenate, zip(*found[::-1])) if found else (np.zeros(0, np.int64),) * 2
         if not len(at):
             return
         ends = offsets[1:] + texts
         owner = np.searchsorted(ends, at)
         text, held, free = -1, b"", []
-        for place, which, rules in zip(at.tolist(), owner.tolist(), told[at].tolist()):
+        for place, which, rules in zip(at.tolist(), owner.tolist(), told.tolist()):
             if which != text:
                 text, free = which, [0] * len(self.kinds)
                 held = data[offsets[which] : offsets[which + 1]].tobytes()

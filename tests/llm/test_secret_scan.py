@@ -91,6 +91,15 @@ def test_lanes_give_the_states_of_one_walk(monkeypatch, lanes, rounds):
         assert built.along(codes).tolist() == walked
 
 
+def test_spans_do_not_depend_on_how_much_is_read_at_once(monkeypatch):
+    column = S.pa.array([*pieces(5, 60), None, "token = " + "ab" * 500, ""])
+    scanner = S.Scanner.of(S.RULES)
+    whole = scanner.scan(column).to_pylist()
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(S, "CODES_AT_ONCE", size)
+        assert scanner.scan(column).to_pylist() == whole
+
+
 def test_patterns_against_a_backtracking_engine():
     r = random.Random(4)
     for pattern in ["a(b|c)*d?", "[^a]b{2,3}", "(?:ab|a){2}c", "(?i:aB)+", r"\x61\.|d", "é+a", "a.c", "[a-c-]{1,}d"]:
