@@ -9,10 +9,11 @@
     blocks by hash, other ones in other trees.  Neighbours whose signatures agree well enough are
     candidates; every class keeps its best and its smallest one.
 4.  Candidates are confirmed on their full sets and joined to components.
-5.  What lies together in a region but not yet in one component is compared whole, signature by
-    signature: again the best and the smallest partner of another component as long as that ties
-    components, then all that is left.  So no link is lost to the choice in 3, and the links inside
-    a large group of copies are never listed.
+5.  What lies together in a region but not yet in one component is compared whole, in blocks of two
+    groups of rows each: first signatures, which only mark the rows that may have a partner, then the
+    full sets of those rows.  A block gives a spanning forest of the links it finds, never its pairs,
+    and a pair is compared in the first tree where it meets.  So no link is lost to the choice in 3,
+    and nothing written grows with the square of a group of copies or of a group of look-alikes.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SHINGLE, TREES, DEPTH, LEAST_DEPTH = 5, 24, 4, 3
 MINIMA = TREES * DEPTH
 #: Rows of a region that are compared in one place, and neighbours on either side in sorted order.
 REGION, NEIGHBOURS = 256, 3
+#: Rows and shingles of a group of the whole comparison (two groups meet in a block); a larger set is alone.
+GROUP, GROUP_SHINGLES = 512, 1_000_000
 #: Signatures of sets at the similarity asked for agree less than this once in a hundred thousand.
 SLACK = 0.20
 #: Keys up to this many are sent to all executors (16 MB), beyond it the join shuffles.
@@ -70,7 +73,8 @@ def described(docs: DataFrame, key: str) -> DataFrame:
                 hashes, where = shingle_sets(data, offsets)
                 sums = []
                 for salt in (1, 2):
-                    total = np.concatenate([[0], np.cumsum(mixed(hashes + np.uint64(salt)), dtype=np.uint64)])
+                    total = np.zeros(len(hashes) + 1, np.uint64)  # whole numbers throughout: equal sets, equal sums
+                    np.cumsum(mixed(hashes + np.uint64(salt)), out=total[1:])
                     sums.append((total[where[1:]] - total[where[:-1]]).view(np.int64))
                 signed = signatures(hashes, where)
                 yield pa.RecordBatch.from_arrays(
@@ -87,22 +91,51 @@ def described(docs: DataFrame, key: str) -> DataFrame:
     return given.mapInArrow(describe, schema("id bigint, n bigint, name1 bigint, name2 bigint, signature binary"))
 
 
+def regions_of(minima: np.ndarray) -> np.ndarray:
+    """The region of every signature in every tree."""
+    minima = minima.reshape(-1, TREES, DEPTH)
+    region = np.broadcast_to(np.arange(TREES, dtype=np.uint64), minima.shape[:2])
+    for level in range(LEAST_DEPTH):
+        region = mixed(region * np.uint64(31) + minima[:, :, level])
+    return region
+
+
 def forest_rows(classes: DataFrame) -> DataFrame:
     """A row for each class and tree: the region it lies in, and its next minimum for the order."""
 
     def grow(batches):
         for batch in batches:
-            minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, TREES, DEPTH)
+            minima = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4").reshape(-1, MINIMA)
+            regions = regions_of(minima)
             for tree in range(TREES):
-                region = np.full(len(minima), tree, np.uint64)
-                for level in range(LEAST_DEPTH):
-                    region = mixed(region * np.uint64(31) + minima[:, tree, level])
-                deeper = minima[:, tree, LEAST_DEPTH].astype(np.int64)
+                deeper = minima[:, tree * DEPTH + LEAST_DEPTH].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(region.view(np.int64)), pa.array(deeper)], names=["id", "region", "deeper"]
+                    [
+                        *batch.columns[:2],
+                        pa.array(np.full(len(minima), tree, np.int32)),
+                        pa.array(np.ascontiguousarray(regions[:, tree]).view(np.int64)),
+                        pa.array(deeper),
+                    ],
+                    names=["id", "n", "tree", "region", "deeper"],
                 )
 
-    return classes.select("id", "signature").mapInArrow(grow, schema("id bigint, region bigint, deeper bigint"))
+    columns = schema("id bigint, n bigint, tree int, region bigint, deeper bigint")
+    return classes.select("id", "n", "signature").mapInArrow(grow, columns)
+
+
+def sketches_of(classes: DataFrame) -> DataFrame:
+    """Per class: one byte of each minimum, and four bytes of its region in each tree."""
+
+    def draw(batches):
+        for batch in batches:
+            minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, MINIMA)
+            low, high = minima.astype(np.uint8), (regions_of(minima) >> np.uint64(32)).astype("<u4")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array([row.tobytes() for row in x], pa.binary()) for x in (low, high))],
+                names=["id", "sketch", "regions"],
+            )
+
+    return classes.select("id", "signature").mapInArrow(draw, schema("id bigint, sketch binary, regions binary"))
 
 
 def whole_groups(batches, keys: int):
@@ -121,58 +154,160 @@ def whole_groups(batches, keys: int):
         yield held
 
 
-def neighbours(rows: DataFrame, reach: int, least: float, each: bool = False) -> DataFrame:
-    """Pairs of ids close to each other in a block whose sketches agree in a share of ``least``.
+def neighbours(rows: DataFrame, reach: int, least: float) -> DataFrame:
+    """For each id with a partner close to it in a block: the best and the smallest one, a row each.
 
-    ``rows`` has region, block, part, deeper, id, sketch.  Up to ``reach`` places apart in sorted order
-    are compared, and only rows of different parts (a row's component, or itself).  With ``each`` a row
-    keeps only its best and its smallest partner of the block: a, the best, how well it agrees, and
-    the smallest, one row for each row that has a partner.
+    ``rows`` has region, block, deeper, id, sketch.  Up to ``reach`` places apart in sorted order are
+    compared; a partner's sketch agrees in a share of ``least``.  Columns: a, the best b, how well it
+    agrees, and the smallest.
     """
 
     def compare(batches):
         for batch in whole_groups(batches, 2):
-            region, block, part, ids = (batch.column(i).to_numpy() for i in (0, 1, 2, 4))
-            sketch = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, MINIMA)
-            begins = np.flatnonzero(np.r_[True, (region[1:] != region[:-1]) | (block[1:] != block[:-1])])
-            largest = int(np.diff(np.r_[begins, len(ids)]).max())
+            region, block, ids = (batch.column(i).to_numpy() for i in (0, 1, 3))
+            sketch = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, MINIMA)
             best, partner = np.full(len(ids), -1.0), np.zeros(len(ids), np.int64)
             smallest = np.full(len(ids), np.iinfo(np.int64).max)
-            for apart in range(1, min(reach, largest - 1) + 1):
+            for apart in range(1, min(reach, len(ids) - 1) + 1):
                 same = (region[apart:] == region[:-apart]) & (block[apart:] == block[:-apart])
-                left = np.flatnonzero(same & (part[apart:] != part[:-apart]))
+                left = np.flatnonzero(same & (ids[apart:] != ids[:-apart]))
                 agreed = (sketch[left] == sketch[left + apart]).mean(1)
-                good = agreed >= least
-                left = left[good]
-                if each:
-                    for one, two in ((left, left + apart), (left + apart, left)):
-                        better = agreed[good] > best[one]
-                        best[one] = np.where(better, agreed[good], best[one])
-                        partner[one] = np.where(better, ids[two], partner[one])
-                        smallest[one] = np.minimum(smallest[one], ids[two])
+                left, agreed = left[agreed >= least], agreed[agreed >= least]
+                for one, two in ((left, left + apart), (left + apart, left)):
+                    better = agreed > best[one]
+                    best[one] = np.where(better, agreed, best[one])
+                    partner[one] = np.where(better, ids[two], partner[one])
+                    smallest[one] = np.minimum(smallest[one], ids[two])
+            has = np.flatnonzero(best >= 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[has]) for x in (ids, partner, best, smallest)], names=["a", "b", "agreed", "smallest"]
+            )
+
+    columns = ("region", "block", "deeper", "id", "sketch")
+    placed = rows.select(*columns).repartition("region", "block").sortWithinPartitions("region", "block", "deeper", "id")
+    return placed.mapInArrow(compare, schema("a bigint, b bigint, agreed double, smallest bigint"))
+
+
+#: Columns of the whole comparison; a block is a region and two of its groups.
+BLOCK_COLUMNS = "region bigint, x bigint, y bigint, id bigint, own bigint, part bigint, n bigint, tree int, sketch binary, regions binary"
+
+
+class Block:
+    """Rows of one block of the whole comparison, and which later rows each may be linked with."""
+
+    def __init__(self, rows, percent: int):
+        own, part, self.n, tree = (rows.column(i).to_numpy() for i in (4, 5, 6, 7))
+        self.sketch, self.regions = (
+            np.frombuffer(b"".join(rows.column(i).to_pylist()), kind).reshape(len(own), -1) for i, kind in ((8, np.uint8), (9, "<u4"))
+        )
+        self.own, self.tree, self.percent = own, int(tree[0]), percent
+        self.one_group = rows.column(1)[0].as_py() == rows.column(2)[0].as_py()
+        self.root = np.unique(part, return_inverse=True)[1]
+
+    def partners(self, i: int, least: float) -> np.ndarray:
+        """Later rows of other components that the sizes and sketches leave open and no earlier tree has met."""
+        small, large = np.minimum(self.n[i], self.n[i + 1 :]), np.maximum(self.n[i], self.n[i + 1 :])
+        fit = (self.root[i + 1 :] != self.root[i]) & (100 * small >= self.percent * large)
+        if not self.one_group:
+            fit &= self.own[i + 1 :] != self.own[i]
+        at = np.flatnonzero(fit) + i + 1
+        at = at[(self.sketch[at] == self.sketch[i]).mean(1) >= least]
+        return at[~(self.regions[at, : self.tree] == self.regions[i, : self.tree]).any(1)]
+
+
+def blocks_of(batches):
+    """The rows of each block, with more than one component and without repeated ids (input sorted)."""
+    for batch in whole_groups(batches, 3):
+        keys = [batch.column(i).to_numpy() for i in range(4)]
+        new = np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)]
+        if not new.all():
+            batch = batch.take(pa.array(np.flatnonzero(new)))
+            keys = [k[new] for k in keys]
+        begins = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys[:3]], axis=0)])
+        for first, end in zip(begins, np.r_[begins[1:], len(keys[0])]):
+            part = batch.column(5).to_numpy()[first:end]
+            if (part != part[0]).any():
+                yield batch.slice(first, end - first)
+
+
+def _by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "id")
+
+
+def with_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of the whole comparison that have at least one partner in their block by signature."""
+    least = percent / 100 - SLACK
+
+    def mark(batches):
+        for rows in blocks_of(batches):
+            block, has = Block(rows, percent), np.zeros(rows.num_rows, bool)
+            for i in range(rows.num_rows - 1):
+                at = block.partners(i, least)
+                has[at] = True
+                has[i] |= len(at) > 0
+            if has.any():
+                yield rows.take(pa.array(np.flatnonzero(has)))
+
+    kinds = schema(BLOCK_COLUMNS)
+    return _by_block(rows.select(*kinds.names)).mapInArrow(mark, kinds)
+
+
+def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that tie components of a block, found on the full sets in the column ``shingles``."""
+    least = percent / 100 - SLACK
+
+    def link(batches):
+        for rows in blocks_of(batches):
+            block, ids = Block(rows, percent), rows.column(3).to_numpy()
+            where = np.r_[0, np.cumsum(block.n)]
+            number = np.unique(np.frombuffer(b"".join(rows.column(10).to_pylist()), np.uint64), return_inverse=True)[1]
+            inside = np.zeros(int(number.max()) + 1, bool)
+            ties = []
+            for i in range(len(ids) - 1):
+                at = block.partners(i, least)
+                if not len(at):
                     continue
-                a, b = ids[left], ids[left + apart]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agreed[good])],
-                    names=["a", "b", "agreed"],
-                )
-            if each:
-                has = np.flatnonzero(best >= 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[has]) for x in (ids, partner, best, smallest)], names=["a", "b", "agreed", "smallest"]
-                )
+                inside[number[where[i] : where[i + 1]]] = True
+                begins = np.cumsum(block.n[at]) - block.n[at]
+                own = np.repeat(where[at] - begins, block.n[at]) + np.arange(block.n[at].sum())
+                both = np.add.reduceat(inside[number[own]].astype(np.int64), begins)
+                inside[number[where[i] : where[i + 1]]] = False
+                for j in at[100 * both >= percent * (block.n[i] + block.n[at] - both)]:
+                    if block.root[i] != block.root[j]:
+                        ties.append((i, j))
+                        block.root[block.root == block.root[j]] = block.root[i]
+            if ties:
+                a, b = np.array(ties).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+    kinds = schema(BLOCK_COLUMNS)
+    return _by_block(rows.select(*kinds.names, "shingles")).mapInArrow(link, schema("a bigint, b bigint"))
+
+
+def sets_of(docs: DataFrame, key: str, concerned: DataFrame) -> DataFrame:
+    """The full shingle sets of some documents: id and the hashes as bytes."""
+
+    def make(batches):
+        for batch in batches:
+            for first, end, data, offsets in text_rounds(batch.column(1)):
+                hashes, where = shingle_sets(data, offsets)
+                blobs = [hashes[a:b].tobytes() for a, b in zip(where[:-1], where[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:end], pa.array(blobs, pa.binary())], names=["id", "shingles"])
 
-    columns = ("region", "block", "part", "deeper", "id", "sketch")
-    placed = rows.select(*columns).repartition("region", "block").sortWithinPartitions("region", "block", "deeper", "id")
-    return placed.mapInArrow(compare, schema("a bigint, b bigint, agreed double" + ", smallest bigint" * each))
+    texts = need(docs, key, "text").select(F.col(key).cast("bigint").alias("id"), "text")
+    return texts.join(concerned, "id", "left_semi").mapInArrow(make, schema("id bigint, shingles binary"))
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    """These ids, written, and to be sent to all executors if they are few."""
+    ids = materialize(ids, "concerned")
+    return F.broadcast(ids) if ids.count() <= SENT_KEYS else ids
 
 
 def confirmed(docs: DataFrame, key: str, pairs: DataFrame, percent: int) -> DataFrame:
     """Those pairs whose full shingle sets have the similarity asked for."""
     ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
-    concerned = materialize(ends.select("id").distinct(), "concerned")
-    if concerned.count() <= SENT_KEYS:
-        concerned = F.broadcast(concerned)
+    concerned = _sent(ends.select("id").distinct())
     texts = need(docs, key, "text").select(F.col(key).cast("bigint").alias("id"), "text")
     texts = texts.join(concerned, "id", "left_semi").join(ends, "id")
 
@@ -223,16 +358,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 75) ->
     """
     rows = materialize(described(docs, key), "signatures")
     named = rows.where("n > 0 and id is not null")
-    classes = named.groupBy("name1", "name2").agg(F.min("id").alias("id"), F.min("signature").alias("signature"))
+    classes = named.groupBy("name1", "name2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("signature").alias("signature"))
     classes = materialize(classes, "classes")
     forest = forest_rows(classes)
     crowds = forest.groupBy("region").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    sketches = classes.select("id", sketch_of("signature").alias("sketch"))
-    members = materialize(forest.join(crowds, "region").join(sketches, "id"), "forest")
+    members = materialize(forest.join(crowds, "region"), "forest")
+    sketches = sketches_of(classes)
     least = percent / 100 - SLACK
     blocks = F.ceil(F.col("crowd") / REGION)
-    near = members.withColumn("block", F.pmod(F.xxhash64("id", "region"), blocks)).withColumn("part", F.col("id"))
-    found = neighbours(near, NEIGHBOURS, least, each=True)
+    near = members.withColumn("block", F.pmod(F.xxhash64("id", "region"), blocks)).join(sketches, "id")
+    found = neighbours(near, NEIGHBOURS, least)
     chosen = found.groupBy(F.col("a").alias("id")).agg(
         F.max(F.struct("agreed", -F.col("b"))).alias("best"), F.min("smallest").alias("smallest")
     )
@@ -242,27 +377,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 75) ->
     links = materialize(confirmed(docs, key, pairs, percent), "confirmed")
     roots = components(links)
 
-    # What shares a region and not a component yet: every row tries its best and its smallest partner
-    # of another component, as long as that ties components; then all that is left is tried.
-    for each in (True, False):
-        while True:
-            apart = _apart(members, roots, blocks)
-            if each:
-                found = neighbours(apart, 1 << 30, least, each=True)
-                partner = F.explode(F.array("b", "smallest")).alias("partner")
-                rest = found.select(F.col("a").alias("id"), partner).select(
-                    F.least("id", "partner").alias("a"), F.greatest("id", "partner").alias("b")
-                )
-            else:
-                rest = neighbours(apart, 1 << 30, least).select("a", "b")
-            rest = materialize(rest.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-            more = materialize(confirmed(docs, key, rest, percent), "confirmed")
-            if more.isEmpty():
-                break
-            pairs, links = pairs.union(rest), links.union(more)
-            roots = components(links)
-            if not each:
-                break
+    # What shares a region and not a component yet.
+    open_rows = materialize(with_partners(_in_blocks(members, roots).join(sketches, "id"), percent), "open")
+    sets = materialize(sets_of(docs, key, _sent(open_rows.select("id").distinct())), "sets")
+    more = materialize(linked_in_blocks(open_rows.join(sets, "id"), percent), "confirmed")
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("vertex").alias("a"), F.col("root").alias("b")).union(more))
 
     classed = classes.select("name1", "name2", F.col("id").alias("class")).join(
         roots.withColumnRenamed("vertex", "class"), "class", "left"
@@ -277,29 +397,37 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", percent: int = 75) ->
     )
 
 
-def _apart(members: DataFrame, roots: DataFrame, blocks) -> DataFrame:
-    """Members of regions that hold more than one component, with component and block.
+def _in_blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of regions that hold more than one component, dealt to blocks of two groups.
 
-    The rows outside the largest component of their region visit all its blocks, so that they meet
-    every row, and each other.
+    The rows of the largest component of a region are dealt to groups, and so are all others.  A group
+    of others meets itself and every group; groups of the largest component don't meet each other.
     """
     parts = members.join(roots.withColumnRenamed("vertex", "id"), "id", "left")
     parts = parts.withColumn("part", F.coalesce("root", "id")).drop("root")
-    shares = parts.groupBy("region", "part").agg(F.count("*").alias("rows"))
-    leading = shares.groupBy("region").agg(
-        F.count("*").alias("parts"), F.max(F.struct("rows", "part"))["part"].alias("leading")
+    shares = parts.groupBy("region", "part").agg(F.count("*").alias("rows"), F.sum("n").alias("size"))
+    totals = shares.groupBy("region").agg(
+        F.count("*").alias("parts"),
+        F.sum("rows").alias("rows"),
+        F.sum("size").alias("size"),
+        F.max(F.struct("rows", "part", "size")).alias("first"),
     )
-    apart = parts.join(leading.where("parts > 1"), "region")
-    everywhere = F.sequence(F.lit(0).cast("bigint"), blocks - 1)
-    own = F.array(F.pmod(F.xxhash64("id", "region"), blocks))
-    return apart.withColumn("block", F.explode(F.when(F.col("part") == F.col("leading"), own).otherwise(everywhere)))
-
-
-def sketch_of(signature: str):
-    """One byte of each minimum."""
 
-    @F.pandas_udf("binary")
-    def sketch(column):
-        return column.map(lambda s: np.frombuffer(s, np.uint8)[::4].tobytes())
+    def groups(rows, size):
+        return F.greatest(F.ceil(rows / GROUP), F.ceil(size / GROUP_SHINGLES))
 
-    return sketch(signature)
+    first = F.col("first")
+    dealt = totals.where("parts > 1").select(
+        "region",
+        first["part"].alias("leading"),
+        groups(first["rows"], first["size"]).alias("leads"),
+        groups(F.col("rows") - first["rows"], F.col("size") - first["size"]).alias("others"),
+    )
+    rows = parts.join(dealt, "region").withColumn("leads_here", F.col("part") == F.col("leading"))
+    place = F.xxhash64("id", "region")
+    own = F.when(F.col("leads_here"), F.pmod(place, "leads")).otherwise(F.col("leads") + F.pmod(place, "others"))
+    met = F.sequence(F.when(F.col("leads_here"), F.col("leads")).otherwise(F.lit(0)), F.col("leads") + F.col("others") - 1)
+    rows = rows.withColumn("own", own).withColumn("met", F.explode(met))
+    return rows.select(
+        "region", F.least("own", "met").alias("x"), F.greatest("own", "met").alias("y"), "id", "own", "part", "n", "tree"
+    )

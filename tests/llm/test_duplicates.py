@@ -50,6 +50,7 @@ def brute_links(rows):
 @pytest.mark.parametrize("region", [256, 8])  # the second deals every crowd to blocks
 def test_near_duplicates_are_those_of_all_pairs(make_docs, odd, monkeypatch, region):
     monkeypatch.setattr(N, "REGION", region)
+    monkeypatch.setattr(N, "GROUP", region)
     expected = brute_links(odd)
     got = N.near_duplicates(make_docs(odd)).collect()
     assert len(got) == len(odd)
@@ -61,6 +62,29 @@ def test_near_duplicates_are_those_of_all_pairs(make_docs, odd, monkeypatch, reg
             assert r.kept == (r.component_id == r.doc_id)
 
 
+def test_equal_sets_are_one_class_wherever_they_lie(make_docs):
+    t = text(50)
+    rows = [(i, t if i % 3 else text(40 + i)) for i in range(60)]
+    named = {(r.name1, r.name2) for r in N.described(make_docs(rows), "doc_id").collect() if r.id % 3}
+    assert len(named) == 1
+
+
+def test_look_alikes_give_no_pairs(make_docs, monkeypatch):
+    """A group that shares half its words and links nothing is compared, and writes nothing that grows with its square."""
+    common, made = text(60), []
+    rows = [(i, common + " " + text(14)) for i in range(80)]
+    expected = brute_links(rows)
+    monkeypatch.setattr(N, "GROUP", 16)
+    kept = N.linked_in_blocks
+    monkeypatch.setattr(N, "linked_in_blocks", lambda *a: made.append(kept(*a)) or made[-1])
+    for r in N.near_duplicates(make_docs(rows)).collect():
+        assert (r.n_shingles, r.component_id) == expected[r.doc_id]
+    seen = {}
+    for r in made[0].collect():
+        seen[r.a] = seen.get(r.a, 0) + 1
+    assert sum(seen.values()) < N.TREES * len(rows)
+
+
 def test_near_duplicates_of_given_documents(make_docs, given_docs):
     expected = brute_links(given_docs)
     for r in N.near_duplicates(make_docs(given_docs)).collect():
