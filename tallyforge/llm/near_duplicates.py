@@ -207,7 +207,7 @@ class Block:
     def partners(self, i: int, least: float) -> np.ndarray:
         """Later rows of other components that the sizes and sketches leave open and no earlier tree has met."""
         small, large = np.minimum(self.n[i], self.n[i + 1 :]), np.maximum(self.n[i], self.n[i + 1 :])
-        fit = (self.root[i + 1 :] != self.root[i]) & (100 * small >= self.percent * large)
+        fit = (self.root[i + 1 :] != self.root[i]) & (small > 0) & (100 * small >= self.percent * large)
         if not self.one_group:
             fit &= self.own[i + 1 :] != self.own[i]
         at = np.flatnonzero(fit) + i + 1
@@ -259,9 +259,11 @@ def linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
     def link(batches):
         for rows in blocks_of(batches):
             block, ids = Block(rows, percent), rows.column(3).to_numpy()
+            sets = rows.column(10).to_pylist()
+            block.n = np.array([len(s) // 8 for s in sets])
             where = np.r_[0, np.cumsum(block.n)]
-            number = np.unique(np.frombuffer(b"".join(rows.column(10).to_pylist()), np.uint64), return_inverse=True)[1]
-            inside = np.zeros(int(number.max()) + 1, bool)
+            number = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)[1]
+            inside = np.zeros(int(number.max(initial=0)) + 1, bool)
             ties = []
             for i in range(len(ids) - 1):
                 at = block.partners(i, least)
