@@ -11,19 +11,21 @@ and is a few thousand numbers; scoring is one narrow pass over all passages of a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyforge.llm.common import need, schema, text_rounds
 
 #: Bytes of a passage, bins of byte pairs, bins in which distinct runs of eight bytes are counted.
 PASSAGE, PAIR_BINS, RUN_BINS = 1024, 512, 1024
 FEATURES = PAIR_BINS + 2
+#: Passages of which features are held at a time while scoring.
+ROUND_PASSAGES = 256
 HIDDEN, ATTENTION = 32, 16
 _BIN_OF_PAIR = ((np.arange(65536, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(55)).astype(np.int64)
 
@@ -72,10 +74,19 @@ class AttentionModel:
     scale: np.ndarray
 
     def forward(self, x: np.ndarray, firsts: np.ndarray) -> dict[str, np.ndarray]:
-        w, bag = self.weights, np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-        s = {"x": x, "bag": bag, "h": np.tanh(x @ w["encode"] + w["encode0"])}
+        return self.weighed(self.encoded(x), firsts)
+
+    def encoded(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        """What is known of each passage by itself, ``raw`` being its attention before it is shared out."""
+        w, s = self.weights, {"x": x}
+        s["h"] = np.tanh(x @ w["encode"] + w["encode0"])
         s["view"], s["gate"] = np.tanh(s["h"] @ w["view"]), 1 / (1 + np.exp(-(s["h"] @ w["gate"])))
-        raw = (s["view"] * s["gate"]) @ w["attend"]
+        s["raw"] = (s["view"] * s["gate"]) @ w["attend"]
+        return s
+
+    def weighed(self, s: dict[str, np.ndarray], firsts: np.ndarray) -> dict[str, np.ndarray]:
+        w, raw = self.weights, s["raw"]
+        s["bag"] = bag = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
         raw = np.exp(raw - np.maximum.reduceat(raw, firsts[:-1])[bag])
         s["a"] = raw / np.add.reduceat(raw, firsts[:-1])[bag]
         s["z"] = np.add.reduceat(s["a"][:, None] * s["h"], firsts[:-1], axis=0)
@@ -85,10 +96,33 @@ class AttentionModel:
     def scaled(self, features: np.ndarray) -> np.ndarray:
         return (features - self.mean) / self.scale
 
-    def score(self, features: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-        if len(firsts) < 2:
+    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Scores of some texts; features are made of ``ROUND_PASSAGES`` passages at a time, however long a text is."""
+        sizes = np.diff(offsets)
+        counts = np.maximum(1, -(-sizes // PASSAGE))
+        firsts = np.concatenate([[0], np.cumsum(counts)])
+        if not len(sizes):
             return np.zeros(0)
-        return self.forward(self.scaled(features), firsts)["p"].astype(np.float64)
+        kept = {"h": [], "raw": []}
+
+        def keep(features):
+            made = self.encoded(self.scaled(features))
+            for name, parts in kept.items():
+                parts.append(made[name])
+
+        text = 0
+        while text < len(sizes):
+            end = max(text + 1, int(np.searchsorted(firsts, firsts[text] + ROUND_PASSAGES, side="right")) - 1)
+            if counts[text] <= ROUND_PASSAGES:
+                keep(passages(data[offsets[text] : offsets[end]], offsets[text : end + 1] - offsets[text])[0])
+            else:
+                for begun in range(0, int(counts[text]), ROUND_PASSAGES):
+                    # With the passage behind, as byte runs reach over the edge.
+                    first = offsets[text] + begun * PASSAGE
+                    last = min(first + (ROUND_PASSAGES + 1) * PASSAGE, offsets[text + 1])
+                    keep(passages(data[first:last], np.array([0, last - first]))[0][:ROUND_PASSAGES])
+            text = end
+        return self.weighed({k: np.concatenate(v) for k, v in kept.items()}, firsts)["p"].astype(np.float64)
 
     def gradients(self, s: dict, firsts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
         w, g, bag = self.weights, {}, s["bag"]
@@ -197,19 +231,15 @@ def score_quality(
     """The columns ``keep`` of every row and, named ``score``, its score from the whole text.
 
     A null text counts as empty; an empty text is one passage of zeros; without a model (no labels of
-    both kinds) every score is 0.5.  Repeated rows each get a row.
+    both kinds) every score is 0.5.  Repeated rows each get a row.  Only texts go to Python.
     """
-    given = need(docs, *dict.fromkeys((*keep, "text")))
-    place = given.columns.index("text")
 
-    def scored(batches):
-        for batch in batches:
-            # A round at a time goes back, so that carried texts are not held twice over.
-            for first, end, data, offsets in text_rounds(batch.column(place)):
-                scores = np.full(end - first, 0.5) if model is None else model.score(*passages(data, offsets))
-                part = batch.slice(first, end - first)
-                kept = [part.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], names=[*keep, score])
-
-    columns = [T.StructField(f.name, f.dataType) for c in keep for f in given.schema.fields if f.name == c]
-    return given.mapInArrow(scored, T.StructType([*columns, T.StructField(score, T.DoubleType())]))
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [np.zeros(0)]
+            for first, end, data, offsets in text_rounds(texts):
+                parts.append(np.full(end - first, 0.5) if model is None else model.score(data, offsets))
+            yield pa.array(np.concatenate(parts))
+
+    return docs.select(*(F.col(f"`{c}`") for c in keep), scored(F.col("text")).alias(score))

@@ -49,6 +49,20 @@ def test_passages_of_whole_texts():
     assert features[0].sum() == 0 and np.isfinite(features).all()
 
 
+def test_scores_in_rounds_are_those_of_all_passages_at_once(monkeypatch):
+    random = np.random.default_rng(4)
+    sizes = [0, 5, Q.PASSAGE, 9 * Q.PASSAGE + 3, 40, 8 * Q.PASSAGE, 0]
+    offsets = np.cumsum([0, *sizes])
+    data = random.integers(97, 123, offsets[-1]).astype(np.uint8)
+    features, firsts = Q.passages(data, offsets)
+    model = Q.fit(features, firsts, random.permutation([0, 1, 0, 1, 0, 1, 1]), epochs=2)
+    expected = model.forward(model.scaled(features), firsts)["p"]
+    for passages in (1, 2, 3, 256):
+        monkeypatch.setattr(Q, "ROUND_PASSAGES", passages)
+        assert np.allclose(model.score(data, offsets), expected, atol=1e-5)
+    assert len(model.score(data[:0], np.array([0]))) == 0
+
+
 @pytest.mark.parametrize("query, label, modulus, remainder, least", [("op4_quality", "quality", 5, 0, 0.97), ("op8_toxicity", "toxic", 4, 2, 0.95)])
 def test_held_out_accuracy(spark, query, label, modulus, remainder, least):
     labels = spark.read.parquet(f"{HELD_OUT_DIR}/labels.parquet").select("doc_id", label)
