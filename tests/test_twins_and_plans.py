@@ -82,3 +82,18 @@ def test_entry(spark):
     assert entry_point.entry(spark).columns == ["institution", "percentage", "percentage_text"]
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
     assert set(QUERIES) == set(TWINS) <= set(entry_point.oracle_sql())
+
+
+def test_log_lines_become_text_after_they_are_dealt(spark, given, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from verification import registry
+
+    plans = []
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, path, **named: plans.append(plan(self._df)))
+    registry.write_log_files(Views(spark, given))
+    (text,) = plans
+    # Read from the bottom: the exchange and the sort see numbers and the month, the text is made above them.
+    lines = text.split("\n\n")[0].splitlines()
+    made = max(i for i, line in enumerate(lines) if "concat_ws" in line)
+    assert made < min(i for i, line in enumerate(lines) if "Exchange" in line or "Sort" in line)

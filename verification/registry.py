@@ -28,7 +28,7 @@ from tallyforge.plans import (
 from tallyforge.session import working_folder
 from tallyforge.sources import files, tables
 from tallyforge.streaming.ingest import REJECTS, ingest_changed_files, ingest_stream
-from verification.views import DATASET_ADMINS, DATASET_PERIOD, EVENT_ADMINS, PERIOD, Views
+from verification.views import DATASET_ADMINS, DATASET_PERIOD, ELIGIBLE, EVENT_ADMINS, PERIOD, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,13 +49,13 @@ def query(function):
 
 def write_log_files(v: Views) -> str:
     """The log lines as text files, in one folder per month named in the files' own style."""
-    # The month of the last token: every line has it, also those without an event ID.
-    stamp = epoch_to_timestamp(F.split_part("value", F.lit(" "), F.lit(-1)).cast("bigint"))
-    log = F.concat(F.lit("events_"), F.date_format(stamp, "MMM_yyyy")).alias("log")
+    # The month of the last token, which every line has, also those without an event ID.  Items are dealt and
+    # sorted while they are a few numbers, and become text where they are written.
+    log = F.concat(F.lit("events_"), F.date_format(epoch_to_timestamp(F.expr(ELIGIBLE)), "MMM_yyyy")).alias("log")
     root = working_folder(v.spark, "logs")
-    order = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    lines = v.log_lines().select("value", log, *order).repartition("log")
-    lines = lines.sortWithinPartitions("log", *order).select("value", "log")
+    items = v.log_items().select("*", log).repartition("log")
+    items = items.sortWithinPartitions("log", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lines = v.log_lines(items).select("value", "log")
     lines.write.partitionBy("log").text(root)
     return root
 

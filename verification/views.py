@@ -15,6 +15,8 @@ DATASET_PERIOD = Period.of("2024-01-01", "2024-01-15")
 DATASET_ADMINS = ["0", "1"]
 EVENT_ADMINS = ["u3", "u17"]
 FIRST_EPOCH = 883612800
+# The last token of a log line, by the epoch second of its job's end.
+ELIGIBLE = "moment - 7000"
 HOUSEHOLD = "IF(c_mktsegment = 'HOUSEHOLD', 1, 0)"
 
 # Declared schemas of the given tables that are read: opening one needs no look at its footer.
@@ -146,9 +148,15 @@ class Views:
             F.lit(0.0).alias("energy"),
         )
 
-    def log_lines(self) -> DataFrame:
-        """One 56-token log line per line item, with its key columns."""
-        moment = f"({FIRST_EPOCH} + l_orderkey * 120 + l_linenumber)"
+    def log_items(self) -> DataFrame:
+        """The line items that log lines are made of, with the epoch second of each."""
+        moment = f"{FIRST_EPOCH} + l_orderkey * 120 + l_linenumber AS moment"
+        keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        return self.given("lineitem").selectExpr(*keys, "l_linestatus", moment)
+
+    def log_lines(self, items: DataFrame | None = None) -> DataFrame:
+        """One 56-token log line per line item, with its key columns; other columns of ``items`` are kept."""
+        moment = "moment"
         tokens = {
             "time_and_id": f"""concat({moment}, IF(l_orderkey % 37 = 0, '', ':'),
                 l_orderkey, '.', l_linenumber % 4)""",
@@ -171,16 +179,16 @@ class Views:
             "partition": "'part'",
             "memory": "concat(l_orderkey * 1000000, 'M')",
             "rsv": "IF(l_orderkey % 5 = 0, '-', 'rsv1')",
-            "eligible_time": f"{moment} - 7000",
+            "eligible_time": ELIGIBLE,
         }
         at = {V.EVENT_TOKENS[name]: f"CAST({sql} AS STRING)" for name, sql in tokens.items()}
         line = ", ".join(at.get(i, "'-'") for i in range(V.EVENT_LINE_TOKENS))
-        # Logs come as many files, the given table as one with a single row group: its few narrow columns
-        # are dealt to all cores before they become text.  Without it sf0.1 is parsed by one task, 13.7 s for 3.5.
-        items = self.given("lineitem").hint("rebalance")
-        return items.selectExpr(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", f"concat_ws(' ', {line}) AS value"
-        )
+        if items is None:
+            # Logs come as many files, the given table as one with a single row group: its few narrow columns
+            # are dealt to all cores before they become text.  Without it sf0.1 is parsed by one task, 13.7 s for 3.5.
+            items = self.log_items().hint("rebalance")
+        others = [c for c in items.columns if c not in ("l_linestatus", "moment")]
+        return items.selectExpr(*others, f"concat_ws(' ', {line}) AS value")
 
     def stored_ids(self) -> DataFrame:
         """IDs of the events an earlier load has stored: those of every third order."""
