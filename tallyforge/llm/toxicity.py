@@ -29,7 +29,7 @@ FLOOR, CHANCE = 0.02, 3.0
 #: Neighbours that vote, power of their cosine, weight of the prior against them.
 NEIGHBOURS, POWER, PRIOR_WEIGHT = 25, 6, 0.1
 #: Terms at most in the matrix, those that most examples hold; documents multiplied with it at a time.
-COMMON, TOGETHER = 1024, 64
+COMMON, TOGETHER = 2048, 256
 EVIDENCE = 3
 
 
@@ -55,12 +55,34 @@ def term_counts(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray):
     text, hashes = _words(data, offsets)
     if not len(terms):
         return text[:0], text[:0], text[:0]
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    known = terms[at] == hashes
-    both, counts = np.unique(text[known] * len(terms) + at[known], return_counts=True)
+    known, at = places_of(hashes, terms)
+    both, counts = np.unique(text[known] * len(terms) + at, return_counts=True)
     return both // len(terms), both % len(terms), counts
 
 
+def places_of(hashes: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are among the sorted terms, and the places of those.
+
+    Hashes are even, so their leading bits lead to a few terms at most: a look at these costs less than
+    a binary search among all.
+    """
+    shift = np.uint64(64 - max(1, len(terms).bit_length()))
+    last = int(terms[-1] >> shift)
+    first = np.searchsorted(terms >> shift, np.arange(last + 2, dtype=np.uint64))
+    lead = hashes >> shift
+    left = np.flatnonzero((hashes != 0) & (lead <= last))
+    lead, at = lead[left].astype(np.intp), first[lead[left].astype(np.intp)]
+    ends, known, places = first[lead + 1], [left[:0]], [at[:0]]
+    while len(left):
+        inside = np.flatnonzero(at < ends)
+        left, at, ends = left[inside], at[inside], ends[inside]
+        same = terms[at] == hashes[left]
+        known.append(left[same])
+        places.append(at[same])
+        left, at, ends = left[~same], at[~same] + 1, ends[~same]
+    return np.concatenate(known), np.concatenate(places)
+
+
 @dataclass
 class ExampleIndex:
     """Terms (sorted word hashes), their weights, and the examples' postings by term."""
@@ -98,7 +120,7 @@ class ExampleIndex:
             for at, t in enumerate(common):
                 own = slice(self.where[t], self.where[t + 1])
                 matrix[at, self.example[own]] = weight[own]
-            self._held = weight, matrix, row
+            self._held = weight, matrix, row, self.example.astype(np.intp)
         return self._held
 
     def __getstate__(self):
@@ -106,7 +128,7 @@ class ExampleIndex:
 
     def nearest_of_all(self, text: np.ndarray, term: np.ndarray, counts: np.ndarray, texts: int, k: int = NEIGHBOURS):
         """For each text the k examples of highest cosine above zero (ties: the earlier one) and the cosines."""
-        weight, matrix, row = self._opened()
+        weight, matrix, row, example = self._opened()
         query = (1 + np.log(counts)) * self.factor[term]
         query = query / np.sqrt(np.bincount(text, query**2, minlength=texts))[text]
         ends = np.searchsorted(text, np.arange(texts + 1))
@@ -123,10 +145,10 @@ class ExampleIndex:
                 t, cosine = term[own][rare], sums[at - start]
                 sizes = self.where[t + 1] - self.where[t]
                 if len(t):
-                    places = np.repeat(self.where[t] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                    cosine = cosine + np.bincount(
-                        self.example[places], weight[places] * np.repeat(query[own][rare], sizes), len(cosine)
-                    )
+                    parts = list(zip(self.where[t].tolist(), self.where[t + 1].tolist()))
+                    shares = np.concatenate([weight[a:b] for a, b in parts])
+                    shares *= np.repeat(query[own][rare], sizes)
+                    cosine = cosine + np.bincount(np.concatenate([example[a:b] for a, b in parts]), shares, len(cosine))
                 least = np.partition(cosine, -k)[-k] - 1e-9 if k < len(cosine) else 0
                 found = np.flatnonzero((cosine >= least) & (cosine > 0))
                 found = found[np.lexsort((found, -np.round(cosine[found], 12)))[:k]]

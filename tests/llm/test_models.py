@@ -158,3 +158,19 @@ def test_stages_take_columns_of_any_name(spark, given):
         kept = stage(spark, docs, given)
         assert kept.columns == docs.columns, name
         assert {r["a.b"] for r in kept.collect()} <= {1}
+
+
+def test_places_of_hashes_among_terms_also_where_many_share_their_leading_bits():
+    made = np.random.default_rng(5)
+    for terms in (
+        np.array([7], np.uint64),
+        np.unique(made.integers(1, 2**64, 5000, dtype=np.uint64)),
+        np.unique(np.r_[made.integers(1, 2**12, 900, dtype=np.uint64), made.integers(2**63, 2**63 + 4000, 900, dtype=np.uint64)]),
+    ):
+        others = made.integers(0, 2**64, 3000, dtype=np.uint64)
+        hashes = made.permutation(np.r_[np.repeat(terms, 2), terms - np.uint64(1), others, np.zeros(9, np.uint64)])
+        known, places = X.places_of(hashes, terms)
+        order = np.argsort(known)
+        wanted = np.flatnonzero(np.isin(hashes, terms))
+        assert known[order].tolist() == wanted.tolist()
+        assert (terms[places[order]] == hashes[wanted]).all()
