@@ -24,11 +24,12 @@ def table(spark, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def text_rounds(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of an Arrow text column, a few megabytes at a time.
+def text_rounds(column: pa.Array, most: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of an Arrow text column, ``most`` bytes at a time.
 
     A null text counts as empty.
     """
+    most = ROUND_BYTES if most is None else most
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("").cast(pa.large_binary())
@@ -37,7 +38,7 @@ def text_rounds(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     held = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        end = int(np.searchsorted(ends, ends[first] + ROUND_BYTES, side="right")) - 1
+        end = int(np.searchsorted(ends, ends[first] + most, side="right")) - 1
         end = min(max(end, first + 1), len(column))
         yield first, end, held[ends[first] : ends[end]], ends[first : end + 1] - ends[first]
         first = end

@@ -36,6 +36,8 @@ REGION, NEIGHBOURS = 256, 3
 GROUP, GROUP_SHINGLES = 512, 1_000_000
 #: Signatures of sets at the similarity asked for agree less than this once in a hundred thousand.
 SLACK = 0.20
+#: Bytes of text that a round takes: a worker holds many times as much for it, and keeps most of that afterwards.
+ROUND_BYTES = 500_000
 #: Keys up to this many are sent to all executors (16 MB), beyond it the join shuffles.
 SENT_KEYS = 1_000_000
 _FACTORS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -69,7 +71,7 @@ def described(docs: DataFrame, key: str) -> DataFrame:
 
     def describe(batches):
         for batch in batches:
-            for first, end, data, offsets in text_rounds(batch.column(1)):
+            for first, end, data, offsets in text_rounds(batch.column(1), ROUND_BYTES):
                 hashes, where = shingle_sets(data, offsets)
                 sums = []
                 for salt in (1, 2):
@@ -291,7 +293,7 @@ def sets_of(docs: DataFrame, key: str, concerned: DataFrame) -> DataFrame:
 
     def make(batches):
         for batch in batches:
-            for first, end, data, offsets in text_rounds(batch.column(1)):
+            for first, end, data, offsets in text_rounds(batch.column(1), ROUND_BYTES):
                 hashes, where = shingle_sets(data, offsets)
                 blobs = [hashes[a:b].tobytes() for a, b in zip(where[:-1], where[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[first:end], pa.array(blobs, pa.binary())], names=["id", "shingles"])
@@ -342,7 +344,7 @@ def text_rounds_in_pairs(column: pa.Array):
 
 
 def _one_round(column: pa.Array):
-    parts = list(text_rounds(column))
+    parts = list(text_rounds(column, ROUND_BYTES))
     shifts = np.cumsum([0] + [len(p[2]) for p in parts])
     offsets = np.concatenate([[0]] + [p[3][1:] + s for p, s in zip(parts, shifts)])
     yield 0, len(column), np.concatenate([p[2] for p in parts]), offsets.astype(np.int64)

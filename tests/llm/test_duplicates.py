@@ -286,3 +286,27 @@ def test_more_blocks_than_numbers_are_refused(make_docs, monkeypatch):
     monkeypatch.setattr(R, "MOST_BLOCKS", 7)
     with pytest.raises(ValueError, match="larger block_bytes"):
         R.find_repeats(make_docs([(1, "x")]))
+
+
+def test_signatures_are_made_of_small_rounds(monkeypatch):
+    import pyarrow as pa
+
+    taken, whole = [], N.shingle_sets
+
+    def noted(data, offsets):
+        taken.append(len(data))
+        return whole(data, offsets)
+
+    class Docs:  # rows of one task
+        def mapInArrow(self, function, _schema):
+            return list(function([pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(["word " * 1000] * 299 + ["x" * 700_000])], names=["id", "text"])]))
+
+        def select(self, *_):
+            return self
+
+    monkeypatch.setattr(N, "shingle_sets", noted)
+    monkeypatch.setattr(N, "need", lambda docs, *_: docs)
+    monkeypatch.setattr(N.F, "col", lambda name: type("C", (), {"cast": lambda s, _: s, "alias": lambda s, _: s})())
+    made = N.described(Docs(), "id")
+    assert sum(batch.num_rows for batch in made) == 300
+    assert sum(taken) == 299 * 5000 + 700_000 and sorted(taken)[-2] <= 500_000 and taken[-1] == 700_000
