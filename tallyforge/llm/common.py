@@ -44,6 +44,15 @@ def text_rounds(column: pa.Array, most: int | None = None) -> Iterator[tuple[int
         first = end
 
 
+def keep_freed_arrays() -> None:
+    """Let this process reuse the memory of freed arrays.
+
+    The C library hands larger arrays back to the system, and every new one is zeroed again page by page,
+    until one has been freed that was larger still (32 MB at most).  This one is, and no page of it is touched.
+    """
+    np.empty(30_000_000, np.uint8)
+
+
 def buckets_for(df: DataFrame, column: str, bytes_each: int, least: int = 8) -> int:
     """How many buckets hold about ``bytes_each`` bytes of a text column; one cheap pass."""
     total = df.agg(F.sum(F.octet_length(column))).first()[0] or 0

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import mixed, need, schema, text_rounds
+from tallyforge.llm.common import keep_freed_arrays, mixed, need, schema, text_rounds
 from tallyforge.llm.graph import components
 from tallyforge.llm.words import shingle_hashes, word_hashes
 from tallyforge.operators.materialize import materialize
@@ -37,7 +37,7 @@ GROUP, GROUP_SHINGLES = 512, 1_000_000
 #: Signatures of sets at the similarity asked for agree less than this once in a hundred thousand.
 SLACK = 0.20
 #: Bytes of text that a round takes: a worker holds many times as much for it, and keeps most of that afterwards.
-ROUND_BYTES = 500_000
+ROUND_BYTES = 250_000
 #: Keys up to this many are sent to all executors (16 MB), beyond it the join shuffles.
 SENT_KEYS = 1_000_000
 _FACTORS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -70,6 +70,7 @@ def described(docs: DataFrame, key: str) -> DataFrame:
     """Per row: key, set size, two 64-bit sums that name the set, and its signature."""
 
     def describe(batches):
+        keep_freed_arrays()
         for batch in batches:
             for first, end, data, offsets in text_rounds(batch.column(1), ROUND_BYTES):
                 hashes, where = shingle_sets(data, offsets)
@@ -292,6 +293,7 @@ def sets_of(docs: DataFrame, key: str, concerned: DataFrame) -> DataFrame:
     """The full shingle sets of some documents: id and the hashes as bytes."""
 
     def make(batches):
+        keep_freed_arrays()
         for batch in batches:
             for first, end, data, offsets in text_rounds(batch.column(1), ROUND_BYTES):
                 hashes, where = shingle_sets(data, offsets)
@@ -316,6 +318,7 @@ def confirmed(docs: DataFrame, key: str, pairs: DataFrame, percent: int) -> Data
     texts = texts.join(concerned, "id", "left_semi").join(ends, "id")
 
     def check(batches):
+        keep_freed_arrays()
         for batch in whole_groups(batches, 2):
             a, b, ids = (batch.column(i).to_numpy() for i in range(3))
             # A row that repeats a document is left out: the first of each end is enough.

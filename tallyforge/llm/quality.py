@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import need, schema, text_rounds
+from tallyforge.llm.common import keep_freed_arrays, need, schema, text_rounds
 
 #: Bytes of a passage, bins of byte pairs, bins in which distinct runs of eight bytes are counted.
 PASSAGE, PAIR_BINS, RUN_BINS = 1024, 512, 1024
 FEATURES = PAIR_BINS + 2
 #: Passages of which features are held at a time while scoring.
 ROUND_PASSAGES = 256
+#: Bytes of text that a round of array work takes: a worker holds a hundred times as much for it.
+ROUND_BYTES = 250_000
 HIDDEN, ATTENTION = 32, 16
 _BIN_OF_PAIR = ((np.arange(65536, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(55)).astype(np.int64)
 
@@ -207,8 +209,9 @@ def learn_quality(
     rows = texts.join(F.broadcast(chosen), key).select(F.col(key).cast("bigint").alias("doc"), "label", "text")
 
     def featured(batches):
+        keep_freed_arrays()
         for batch in batches:
-            for first, end, data, offsets in text_rounds(batch.column(2)):
+            for first, end, data, offsets in text_rounds(batch.column(2), ROUND_BYTES):
                 x, firsts = passages(data, offsets)
                 blobs = [x[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:])]
                 yield pa.RecordBatch.from_arrays(
@@ -236,9 +239,10 @@ def score_quality(
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keep_freed_arrays()
         for texts in batches:
             parts = [np.zeros(0)]
-            for first, end, data, offsets in text_rounds(texts):
+            for first, end, data, offsets in text_rounds(texts, ROUND_BYTES):
                 parts.append(np.full(end - first, 0.5) if model is None else model.score(data, offsets))
             yield pa.array(np.concatenate(parts))
 

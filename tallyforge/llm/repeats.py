@@ -19,7 +19,6 @@ equal names wherever they stand.  Consecutive windows of one name are one piece
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -241,6 +240,7 @@ def find_repeats(
     length: int = LENGTH,
     block_bytes: int = BLOCK_BYTES,
     carry: tuple[str, ...] = (),
+    whole_characters: bool = False,
 ) -> DataFrame:
     """One row per document: key, bytes, removed spans (start and end bytes) and what is kept, as bytes.
 
@@ -249,6 +249,7 @@ def find_repeats(
     is kept may begin or end inside a character.  Texts shorter than ``length`` are kept.  Rows that
     repeat a key do not count against each other.  A row with a null key is kept whole and counts
     against none.  An empty table gives an empty result.  Columns named in ``carry`` follow.
+    With ``whole_characters`` what is kept is a text, and of a character that was cut in part nothing stays.
     """
     blocks = buckets_for(docs, "text", block_bytes)
     if blocks > MOST_BLOCKS:
@@ -350,18 +351,21 @@ def find_repeats(
                     result["n_bytes"].append(int(b - a))
                     result["starts"].append(edge[::2].tolist())
                     result["ends"].append(edge[1::2].tolist())
-                    result["kept"].append(data[a:b][~gone[a:b]].tobytes())
+                    kept = data[a:b][~gone[a:b]].tobytes()
+                    result["kept"].append(kept.decode("utf-8", "ignore") if whole_characters else kept)
         longs = pa.list_(pa.int64())
-        out = pa.table(result, pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("starts", longs), ("ends", longs), ("kept", pa.binary())]))
+        kind = pa.string() if whole_characters else pa.binary()
+        out = pa.table(result, pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("starts", longs), ("ends", longs), ("kept", kind)]))
         for column in carried:
             out = out.append_column(column, table.column(column))
         return out
 
+    kept_as = "string" if whole_characters else "binary"
     marked = dealt.groupBy("block").cogroup(answered.union(settled_rows).groupBy("block")).applyInArrow(
         mark,
         T.StructType(
             [
-                *schema("doc bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary").fields,
+                *schema(f"doc bigint, n_bytes bigint, starts array<bigint>, ends array<bigint>, kept {kept_as}").fields,
                 *(T.StructField(c, given.schema[c].dataType) for c in carried),
             ]
         ),
@@ -369,7 +373,7 @@ def find_repeats(
     text = F.coalesce("text", F.lit(""))
     nothing = F.array().cast("array<bigint>")
     unnamed = given.where("doc is null").select(
-        "doc", F.octet_length(text).cast("bigint"), nothing, nothing, text.cast("binary"), *map(F.col, carried)
+        "doc", F.octet_length(text).cast("bigint"), nothing, nothing, text.cast(kept_as), *map(F.col, carried)
     )
     return marked.union(unnamed).toDF(key, "n_bytes", "starts", "ends", "kept", *carry)
 
@@ -377,16 +381,13 @@ def find_repeats(
 def cut_texts(docs: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = (), size: str = "n_bytes", **options) -> DataFrame:
     """Key, text without the repeats of ``find_repeats``, bytes before (named ``size``), carried columns.
 
-    Of a character that was cut in part nothing stays.  Null texts come back empty.
+    Of a character that was cut in part nothing stays.  Null texts come back empty.  The texts are made where
+    they are cut: a second Python function in the stage would be a second Python process for every task.
     """
-
-    @F.pandas_udf("string")
-    def characters(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda x: x.decode("utf-8", "ignore"))
-
     names = [f"carried {i}" for i in range(len(carry))]
-    found = find_repeats(docs, key, carry=carry, **options).toDF("key", "size", "starts", "ends", "kept", *names)
-    return found.select("key", characters("kept").alias("text"), "size", *names).toDF(key, "text", size, *carry)
+    found = find_repeats(docs, key, carry=carry, whole_characters=True, **options)
+    found = found.toDF("key", "size", "starts", "ends", "kept", *names)
+    return found.select("key", "kept", "size", *names).toDF(key, "text", size, *carry)
 
 
 def removed_bytes() -> Column:

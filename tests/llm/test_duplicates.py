@@ -310,3 +310,13 @@ def test_signatures_are_made_of_small_rounds(monkeypatch):
     made = N.described(Docs(), "id")
     assert sum(batch.num_rows for batch in made) == 300
     assert sum(taken) == 299 * 5000 + 700_000 and sorted(taken)[-2] <= 500_000 and taken[-1] == 700_000
+
+
+def test_a_stage_of_the_cutting_holds_one_python_function(make_docs):
+    # Each further one is a further Python process for every task, and all of them stay.
+    passage = "the same fifty bytes of text stand in two documents, éèê "
+    docs = make_docs([(1, passage), (2, "before " + passage), (3, None), (None, passage)])
+    cut = R.cut_texts(docs)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "EvalPython" not in plan
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: passage, 2: "before ", 3: "", None: passage}
