@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import need, schema, text_rounds
+from tallyforge.llm.common import keep_freed_arrays, need, schema, text_rounds
 from tallyforge.llm.quality import in_fold
 from tallyforge.llm.words import LETTERS, word_hashes
 
@@ -30,6 +30,8 @@ FLOOR, CHANCE = 0.02, 3.0
 NEIGHBOURS, POWER, PRIOR_WEIGHT = 25, 6, 0.1
 #: Terms at most in the matrix, those that most examples hold; documents multiplied with it at a time.
 COMMON, TOGETHER = 2048, 256
+#: Bytes of text of which words are counted at a time.
+COUNTED_BYTES = 250_000
 EVIDENCE = 3
 
 
@@ -109,50 +111,74 @@ class ExampleIndex:
         return cls(terms, factor, text, counts, where, np.where(norm > 0, norm, 1.0), doc, toxic, vote, prior)
 
     def _opened(self):
-        """Weights of the postings, the matrix of common terms, and each term's row in it or -1."""
+        """What the search needs, made once in a process.
+
+        The matrix of common terms in single precision, and each term's row in it or -1; the rows and weights
+        of every example in double precision, example by example; the example and weight of all postings.
+        """
         if not hasattr(self, "_held"):
             held = np.diff(self.where)
             weight = (1 + np.log(self.counts.astype(float))) * np.repeat(self.factor, held) / self.norm[self.example]
             common = np.argsort(-held, kind="stable")[:COMMON]
             row = np.full(len(held), -1, np.int32)
             row[common] = np.arange(len(common))
-            matrix = np.zeros((len(common), len(self.doc)))
+            matrix = np.zeros((len(common), len(self.doc)), np.float32)
             for at, t in enumerate(common):
                 own = slice(self.where[t], self.where[t + 1])
                 matrix[at, self.example[own]] = weight[own]
-            self._held = weight, matrix, row, self.example.astype(np.intp)
+            row_of = np.repeat(row, held)
+            within = np.flatnonzero(row_of >= 0)
+            within = within[np.argsort(self.example[within], kind="stable")]
+            begins = np.searchsorted(self.example[within], np.arange(len(self.doc) + 1))
+            self._held = matrix, row, row_of[within].astype(np.intp), weight[within], begins, self.example.astype(np.intp), weight
         return self._held
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_held"}
 
     def nearest_of_all(self, text: np.ndarray, term: np.ndarray, counts: np.ndarray, texts: int, k: int = NEIGHBOURS):
-        """For each text the k examples of highest cosine above zero (ties: the earlier one) and the cosines."""
-        weight, matrix, row, example = self._opened()
+        """For each text the k examples of highest cosine above zero (ties: the earlier one) and the cosines.
+
+        Common terms are summed in single precision first.  Its error is bounded, so this tells which examples
+        can be among the k, and only for these they are summed again in double precision.
+        """
+        matrix, row, row_of, weight_of, begins, example, weight = self._opened()
         query = (1 + np.log(counts)) * self.factor[term]
         query = query / np.sqrt(np.bincount(text, query**2, minlength=texts))[text]
         ends = np.searchsorted(text, np.arange(texts + 1))
+        # No weight is negative, so a sum of n products is off by a share of about n roundings at most.
+        margin = 1 - 3 * (len(matrix) + 16) * 2.0**-24
+        sought = np.zeros(len(matrix))
         for start in range(0, texts, TOGETHER):
             stop = min(start + TOGETHER, texts)
             part = slice(ends[start], ends[stop])
             common = row[term[part]] >= 0
-            left = np.zeros((stop - start, len(matrix)))
+            left = np.zeros((stop - start, len(matrix)), np.float32)
             left[text[part][common] - start, row[term[part][common]]] = query[part][common]
             sums = left @ matrix
             for at in range(start, stop):
-                own = slice(ends[at], ends[at + 1])
-                rare = row[term[own]] < 0
-                t, cosine = term[own][rare], sums[at - start]
-                sizes = self.where[t + 1] - self.where[t]
-                if len(t):
-                    parts = list(zip(self.where[t].tolist(), self.where[t + 1].tolist()))
-                    shares = np.concatenate([weight[a:b] for a, b in parts])
-                    shares *= np.repeat(query[own][rare], sizes)
-                    cosine = cosine + np.bincount(np.concatenate([example[a:b] for a, b in parts]), shares, len(cosine))
-                least = np.partition(cosine, -k)[-k] - 1e-9 if k < len(cosine) else 0
+                rows, own, rare = row[term[ends[at] : ends[at + 1]]], query[ends[at] : ends[at + 1]], 0.0
+                seldom = np.flatnonzero(rows < 0)
+                if len(seldom):
+                    places, shares = self._postings(term[ends[at] : ends[at + 1]][seldom], own[seldom])
+                    shares *= weight[places]
+                    rare = np.bincount(example[places], shares, len(self.doc))
+                cosine = sums[at - start] + rare
+                least = np.partition(cosine, -k)[-k] * margin - 1e-9 if k < len(cosine) else 0
                 found = np.flatnonzero((cosine >= least) & (cosine > 0))
-                found = found[np.lexsort((found, -np.round(cosine[found], 12)))[:k]]
-                yield found, cosine[found]
+                sought[rows[rows >= 0]] = own[rows >= 0]
+                exact = [sought[row_of[a:b]] @ weight_of[a:b] for a, b in zip(begins[found], begins[found + 1])]
+                sought[rows[rows >= 0]] = 0
+                cosine = np.array(exact) + (rare[found] if len(seldom) else 0.0)
+                best = np.lexsort((found, -np.round(cosine, 12)))[:k]
+                yield found[best], cosine[best]
+
+    def _postings(self, term: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all postings of some terms, and each one's value of its term."""
+        first, sizes = self.where[term], self.where[term + 1] - self.where[term]
+        places = np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+        places += np.arange(len(places))
+        return places, np.repeat(values, sizes)
 
     def nearest(self, term: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS):
         """The k examples of highest cosine above zero (ties: the earlier example) and the cosines."""
@@ -252,10 +278,11 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.nd
     """Number of documents, and of documents with each term, over all rows; summed in the tasks."""
 
     def count(batches):
+        keep_freed_arrays()
         found, total = np.zeros(len(terms), np.int64), 0
         for batch in batches:
             total += batch.num_rows
-            for _, _, data, offsets in text_rounds(batch.column(0)):
+            for _, _, data, offsets in text_rounds(batch.column(0), COUNTED_BYTES):
                 found += np.bincount(term_counts(data, offsets, terms)[1], minlength=len(terms))
         numbers = np.append(np.flatnonzero(found), -1)
         yield pa.RecordBatch.from_arrays(
@@ -280,6 +307,7 @@ def score_toxicity(docs: DataFrame, index: ExampleIndex | None, key: str = "doc_
     evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.bool_())]))
 
     def score(batches):
+        keep_freed_arrays()
         for batch in batches:
             scores, why = [], []
             for first, end, data, offsets in text_rounds(batch.column(1)):

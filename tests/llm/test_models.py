@@ -113,6 +113,22 @@ def test_nearest_are_those_of_all_examples():
             assert found.tolist() == best.tolist() and cosine == pytest.approx(every[best])
 
 
+def test_nearest_are_told_apart_beyond_single_precision(monkeypatch):
+    monkeypatch.setattr(X, "COMMON", 2)
+    examples = 200
+    counts = np.column_stack([10**7 + 50 * np.random.default_rng(5).permutation(examples), np.full(examples, 3)])
+    text, term = np.divmod(np.arange(2 * examples), 2)
+    index = X.ExampleIndex.build(
+        np.arange(2, dtype=np.uint64), np.ones(2), np.array([1.0, 2.0]), text, term, counts.ravel(),
+        np.arange(examples), np.zeros(examples, int), np.ones(examples), 0.1,
+    )
+    assert index._opened()[0].dtype == np.float32  # half the work and memory of the matrix in double precision
+    weight = (1 + np.log(counts)) * [1.0, 2.0]
+    every = (weight / np.linalg.norm(weight, axis=1, keepdims=True))[:, 1]
+    found, cosine = index.nearest(np.array([1]), np.array([1]), k=10)
+    assert found.tolist() == np.argsort(-every)[:10].tolist() and cosine == pytest.approx(every[found], rel=1e-12)
+
+
 def test_a_copy_of_an_example_is_found_by_rare_words(make_docs, spark):
     random = np.random.default_rng(3)
     common = ["".join(random.choice(list("abcdefghij"), 7)) for _ in range(200)]
