@@ -24,13 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyforge.llm.common import buckets_for, mixed, need, schema, text_rounds
+from tallyforge.llm.common import buckets_for, keep_freed_arrays, mixed, need, schema, text_rounds
 
 # Bytes of a string that counts, and of the grams that name its windows, three words of eight.
 LENGTH, GRAM = 50, 24
 _FACTORS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)]
 #: Windows of a piece at most, and bytes of text in a block.
 LONGEST, BLOCK_BYTES = 35, 4_000_000
+#: Bytes of text of which pieces are made at a time: the arrays of a round stay in a core's cache.
+ROUND_BYTES = 125_000
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -202,9 +204,10 @@ class _Block:
     """Pieces of the documents of one block."""
 
     def __init__(self, table: pa.Table, buckets: int, length: int):
+        keep_freed_arrays()
         self.documents = table.column("doc").to_numpy()
         self.rounds = []
-        for first, end, data, offsets in text_rounds(table.column("text")):
+        for first, end, data, offsets in text_rounds(table.column("text"), ROUND_BYTES):
             start, count, names, text = pieces(data, offsets, length)
             self.rounds.append((first, end, data, offsets, start, count, named(names, buckets), text))
         self.names = np.concatenate([np.zeros(0, np.uint64), *[r[6] for r in self.rounds]])
@@ -306,6 +309,7 @@ def find_repeats(
     )
 
     def settle(table: pa.Table) -> pa.Table:
+        keep_freed_arrays()
         counts, documents = settled(
             [unpacked(x) for x in table.column("names").to_pylist()],
             [np.frombuffer(x, "<u2") for x in table.column("sizes").to_pylist()],

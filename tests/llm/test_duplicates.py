@@ -320,3 +320,12 @@ def test_a_stage_of_the_cutting_holds_one_python_function(make_docs):
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "EvalPython" not in plan
     assert {r.doc_id: r.text for r in cut.collect()} == {1: passage, 2: "before ", 3: "", None: passage}
+
+
+def test_rounds_of_array_work_are_small():
+    import pyarrow as pa
+
+    texts = [f"{i} " * 2000 for i in range(200)]
+    table = pa.table({"doc": list(range(200)), "text": texts})
+    block = R._Block(table, 4, 50)
+    assert sum(len(r[2]) for r in block.rounds) == sum(map(len, texts)) and max(len(r[2]) for r in block.rounds) <= 125_000
